@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, grouping, leakage, lookalike, mixing, mojibake, sampling
+from . import bpe, canonical, grouping, leakage, lookalike, mixing, mojibake, sampling
 from .records import table as _t
 
 
@@ -40,6 +40,15 @@ def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical_text(values, "value")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.canonical_values(_t(spark, d, "split_record"), _t(spark, d, "graph_node"), _t(spark, d, "ref_item")).where("ref_id is not null").select("field_name", "row_key", "ref_id").distinct()
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The values that denote no entry."""
+    return canonical.canonical_values(_t(spark, d, "split_record"), _t(spark, d, "graph_node"), _t(spark, d, "ref_item")).where("ref_id is null").select("field_name", "row_key", "value")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return grouping.related_records(_t(spark, d, "split_record"))
 
@@ -71,7 +80,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p5_found, p5_splits, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
+    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
 }
 
 ORACLES: dict[str, str] = {
