@@ -7,6 +7,7 @@ database does not hold, are written out.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -93,17 +94,28 @@ _LATIN = regex.compile(r"\p{Latin}")
 _GAP = regex.compile(r"[\W_]+")
 
 
+@lru_cache(None)
+def _suspect() -> re.Pattern:
+    """Any character that may not stand in the plain form."""
+    marks = (c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c)[0] == "M")
+    low = sorted({*(chr(i) for i in _translation() if i < 0x10000), *marks})
+    return re.compile("[" + re.escape("".join(low)) + "]|[\U00010000-\U0010ffff]")
+
+
+@lru_cache(None)
+def _foreign() -> re.Pattern:
+    return re.compile("[" + "".join(map(chr, _letter_translation())) + "]")
+
+
 def plain(text: str) -> str:
     """``text`` with stand-ins made ordinary and look-alikes inside Latin words made Latin, composed."""
     if text.isascii():
         return text
-    text = text.translate(_translation())
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-        fix = _letter_translation()
-        if any(ord(c) in fix for c in text):
-            latin = _LATIN.search(text) is not None
-            text = _WORD.sub(lambda m: m[0].translate(fix) if _LATIN.search(m[0]) or (latin and len(m[0]) == 1 and m[0].upper() in "ΑА") else m[0], text)
+    if _suspect().search(text):
+        text = unicodedata.normalize("NFC", text.translate(_translation()))
+    if _foreign().search(text):
+        fix, latin = _letter_translation(), _LATIN.search(text) is not None
+        text = _WORD.sub(lambda m: m[0].translate(fix) if _LATIN.search(m[0]) or (latin and len(m[0]) == 1 and m[0].upper() in "ΑА") else m[0], text)
     return text
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, canonical, grouping, leakage, lookalike, mixing, mojibake, sampling
+from . import bpe, canonical, defects, grouping, leakage, lookalike, mixing, mojibake, sampling
 from .records import table as _t
 
 
@@ -57,6 +57,10 @@ def p5_splits(spark: SparkSession, d: str) -> DataFrame:
     return grouping.grouped_splits(_t(spark, d, "split_record"), _t(spark, d, "split_target"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return defects.defective_replies(_t(spark, d, "prediction"), _t(spark, d, "split_record"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_corpus(_t(spark, d, "documents"))
 
@@ -80,7 +84,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
+    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
 }
 
 ORACLES: dict[str, str] = {
