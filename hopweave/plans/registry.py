@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nested
+from . import kgqa, nested
 
-_MODULES = [nested]
+_MODULES = [nested, kgqa]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
