@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import kgqa, nested
+from ..streaming import resume
+from . import graph, kgqa, nested
 
-_MODULES = [nested, kgqa]
+_MODULES = [nested, kgqa, graph, resume]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
