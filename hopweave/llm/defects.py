@@ -311,9 +311,11 @@ def other_language(text: str, question: str) -> bool:
     if best == asked or len(_WORDS.findall(text)) < 3:
         return False
     if best in _SCRIPTS:
-        # A name in another script is no sentence.
-        pattern = _SCRIPTS[best]
-        return found[best] >= 3 and len("".join(pattern.findall(text))) > 0.3 * len("".join(_WORDS.findall(text))) and bool(regex.search(r"\p{Ll}", text)) and sum(w[:1].islower() for w in pattern.findall(text)) >= 2
+        # A name in another script is no sentence, nor is one in lower case.
+        told = _SCRIPTS[best].findall(text)
+        words = _WORDS.findall(text)
+        low, most = sum(w[:1].islower() or not w[:1].isupper() for w in told), len("".join(told)) > 0.2 * len("".join(words))
+        return most and (len(told) >= 3 and 1 <= low < len(told) or len(told) >= 5 and low >= 2 or len(told) >= 2 and low >= 1 and len(words) > len(told) and found.get(asked, 0) == 0)
     return found[best] >= 1.5 and found[best] > found.get(asked, 0.0)
 
 
