@@ -54,18 +54,19 @@ def expand_by_relations(seeds: DataFrame, merged: DataFrame, claims: DataFrame,
     return taken.join(last, ["key", "qid", "pid", "pos"]).select("key", "qid", "pid", "target")
 
 
-def closure(members: DataFrame, claims: DataFrame, rounds: int = 2) -> DataFrame:
-    """``id, qid, depth``: the members of each graph and the entities that they refer to, directly or through others, up to ``rounds`` steps.
+def closure(members: DataFrame, claims: DataFrame, rounds: int | None = None) -> DataFrame:
+    """``id, qid, depth``: the members of each graph and the entities that they refer to, directly or through others, until nothing is added or up to ``rounds`` steps.
 
-    Each round joins only what the last one added; many rounds are cut from their lineage.
+    Each round joins only what the last one added, and is cut from its lineage.
     """
-    scratch = Scratch(members.sparkSession, "closure") if rounds > 2 else None
-    every = members.select("id", "qid").distinct().withColumn("depth", F.lit(0))
-    front = every
-    for depth in range(1, rounds + 1):
-        new = front.join(claims.select("qid", "target"), "qid").select("id", F.col("target").alias("qid")).distinct().join(every.select("id", "qid"), ["id", "qid"], "left_anti").withColumn("depth", F.lit(depth))
-        new = scratch.cut(new) if scratch else new
-        every, front = every.unionByName(new), new
+    scratch = Scratch(members.sparkSession, "closure")
+    steps = scratch.cut(claims.select("qid", "target").distinct())
+    every = front = scratch.cut(members.select("id", "qid").distinct().withColumn("depth", F.lit(0)))
+    depth = 0
+    while depth != rounds and not front.isEmpty():
+        depth += 1
+        front = scratch.cut(front.join(steps, "qid").select("id", F.col("target").alias("qid")).distinct().join(every.select("id", "qid"), ["id", "qid"], "left_anti").withColumn("depth", F.lit(depth)))
+        every = every.unionByName(front)
     return every
 
 

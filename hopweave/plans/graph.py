@@ -112,9 +112,9 @@ def expand_concepts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def closure_missing(spark: SparkSession, d: str) -> DataFrame:
-    """Entities that each graph refers to within two steps and that it has no node for."""
+    """Entities that each graph refers to, directly or through others, and that it has no node for."""
     known = t(spark, d, "graph_node").select(F.col("qid").alias("target")).distinct()
-    reached = graphs.closure(nodes(spark, d).select("id", "qid"), claims(spark, d).join(known, "target", "left_semi"), 2)
+    reached = graphs.closure(nodes(spark, d).select("id", "qid"), claims(spark, d).join(known, "target", "left_semi"))
     return reached.where("depth > 0")
 
 

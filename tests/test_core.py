@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hopweave.functions import text as T
-from hopweave.operators import dewey, metrics, paths, ranks, rows
+from hopweave.operators import dewey, graphs, metrics, paths, ranks, rows
 from hopweave.operators.components import connected_components
 
 
@@ -115,6 +115,29 @@ def test_components(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
+def test_closure_has_no_depth_bound(spark):
+    r = random.Random(8)
+    claims = [(f"c{i}", f"c{i + 1}") for i in range(6)] + [("c6", "c2"), ("c0", "c3"), ("c1", None)] + [(f"x{r.randint(0, 60)}", f"x{r.randint(0, 60)}") for _ in range(70)]
+    members = [("g", "c0"), ("g", "c0"), ("h", "c5"), ("h", "x1"), ("k", "alone"), ("l", "x2"), ("l", "x3"), ("m", None)]
+    want = set()
+    for g in {m[0] for m in members}:
+        depth = {q: 0 for m, q in members if m == g}
+        queue = deque(depth)
+        while queue:
+            at = queue.popleft()
+            for a, b in claims:
+                if a == at and b is not None and b not in depth:
+                    depth[b] = depth[at] + 1
+                    queue.append(b)
+        want |= {(g, q, d) for q, d in depth.items()}
+    assert max(d for _, _, d in want) > 3
+    m, c = spark.createDataFrame(members, "id string, qid string"), spark.createDataFrame(claims, "qid string, target string").where("target is not null")
+    got = [tuple(x) for x in graphs.closure(m, c).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(x) for x in graphs.closure(m, c, 2).collect()} == {x for x in want if x[2] <= 2}
+    assert graphs.closure(m.limit(0), c).count() == 0 and graphs.closure(m, c.limit(0)).count() == 7
+
+
 def test_dewey_round_trip(spark):
     schema = "id string, other int, v array<struct<a:string,m:map<string,array<string>>,s:struct<b:int>>>"
     df = spark.createDataFrame([("1", 5, [("x", {"p": ["u", None], "q": []}, (3,)), None, ("y", None, None)]), ("2", 6, None), (None, 7, [])], schema)
