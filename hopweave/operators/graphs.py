@@ -79,14 +79,29 @@ def one_hop_links(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def two_hop_links(pairs: DataFrame, edges: DataFrame, limit: int = 3) -> DataFrame:
-    """``id, a, b, p1, x, p2, rank``: up to ``limit`` links over one entity between, by (p1, x, p2).
+    """``id, a, b, direction, p1, x, p2, rank``: up to ``limit`` links over one entity between, by (p1, x, p2).
 
+    Direction 0 leads from a to b; only where no such link exists, direction 1 leads from b to a.
     The second hop is joined on both of its ends, so no hub is ever spread out.
     """
     e = edges.select("source", "target", "type").distinct()
-    first = pairs.join(e, F.col("a") == F.col("source")).select("id", "a", "b", F.col("type").alias("p1"), F.col("target").alias("x")).where("x <> a and x <> b")
-    second = e.select(F.col("source").alias("x"), F.col("target").alias("b"), F.col("type").alias("p2"))
-    return first.join(second, ["x", "b"]).distinct().withColumn("rank", F.row_number().over(Window.partitionBy("id", "a", "b").orderBy("p1", "x", "p2"))).where(F.col("rank") <= limit)
+    ways = pairs.select("id", "a", "b", F.lit(0).alias("direction"), F.col("a").alias("start"), F.col("b").alias("end")).unionByName(pairs.select("id", "a", "b", F.lit(1).alias("direction"), F.col("b").alias("start"), F.col("a").alias("end")))
+    first = ways.join(e, F.col("start") == F.col("source")).select("id", "a", "b", "direction", "end", F.col("type").alias("p1"), F.col("target").alias("x")).where("x <> a and x <> b")
+    second = e.select(F.col("source").alias("x"), F.col("target").alias("end"), F.col("type").alias("p2"))
+    pair = Window.partitionBy("id", "a", "b")
+    ranked = first.join(second, ["x", "end"]).select("id", "a", "b", "direction", "p1", "x", "p2").distinct().withColumn("rank", F.row_number().over(pair.orderBy("direction", "p1", "x", "p2"))).where(F.col("rank") <= limit)
+    # Forward links rank first, so the least direction among those kept is the pair's.
+    return ranked.withColumn("own", F.min("direction").over(pair)).where("direction = own").drop("own")
+
+
+def link_edges(one_hop: DataFrame, two_hop: DataFrame) -> DataFrame:
+    """``id, source, type, target``: the edge of each one-hop link, and both edges of the first two-hop link of pairs without one."""
+    forward = F.col("direction") == 0
+    start, end = F.when(forward, F.col("a")).otherwise(F.col("b")), F.when(forward, F.col("b")).otherwise(F.col("a"))
+    near = one_hop.select("id", start.alias("source"), "type", end.alias("target"))
+    far = two_hop.where("rank = 1").join(one_hop.select("id", "a", "b"), ["id", "a", "b"], "left_anti")
+    both = F.array(F.struct(start.alias("source"), F.col("p1").alias("type"), F.col("x").alias("target")), F.struct(F.col("x").alias("source"), F.col("p2").alias("type"), end.alias("target")))
+    return near.unionByName(far.select("id", F.explode(both).alias("e")).select("id", "e.source", "e.type", "e.target")).distinct()
 
 
 def called_nodes() -> Column:

@@ -178,10 +178,8 @@ def link_2hop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def edge_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Link edges that a graph does not hold yet."""
-    l = link_1hop(spark, d)
-    forward = F.col("direction") == 0
-    new = l.select("id", F.when(forward, F.col("a")).otherwise(F.col("b")).alias("source"), "type", F.when(forward, F.col("b")).otherwise(F.col("a")).alias("target")).distinct()
+    """Link edges that a graph does not hold yet: of one-hop links, else both of the first two-hop link."""
+    new = graphs.link_edges(link_1hop(spark, d), link_2hop(spark, d))
     return new.join(edges(spark, d).select("id", "source", "type", "target"), ["id", "source", "type", "target"], "left_anti")
 
 

@@ -138,6 +138,35 @@ def test_closure_has_no_depth_bound(spark):
     assert graphs.closure(m.limit(0), c).count() == 0 and graphs.closure(m, c.limit(0)).count() == 7
 
 
+def test_two_hop_links_and_their_edges(spark):
+    r = random.Random(16)
+    edges = [(f"n{r.randint(0, 14)}", f"n{r.randint(0, 14)}", r.choice("pqr")) for _ in range(60)]
+    pairs = [(f"i{k}", f"n{r.randint(0, 14)}", f"n{r.randint(0, 14)}") for k in range(60)]
+    edges += [("B", "X", "p"), ("X", "A", "q"), ("X", "A", "q"), ("C", "D", "p"), ("D", "E", "p"), ("E", "C", "q")]
+    pairs += [("inverse", "A", "B"), ("direct", "C", "E")]
+
+    def hops(s, o, a, b):
+        return sorted({(p, x, q) for u, x, p in edges if u == s and x not in (a, b) for y, v, q in edges if y == x and v == o})
+
+    want, added = set(), set()
+    for i, a, b in pairs:
+        direction, found = next(((k, h) for k, h in enumerate((hops(a, b, a, b), hops(b, a, a, b))) if h), (0, []))
+        want |= {(i, a, b, direction, *h, n) for n, h in enumerate(found[:3], 1)}
+        one = sorted([(0, p) for s, o, p in edges if (s, o) == (a, b)] + [(1, p) for s, o, p in edges if (s, o) == (b, a)])
+        if one:
+            added.add((i, *((a, one[0][1], b) if one[0][0] == 0 else (b, one[0][1], a))))
+        elif found:
+            (s, o), (p, x, q) = ((a, b), (b, a))[direction], found[0]
+            added |= {(i, s, p, x), (i, x, q, o)}
+    assert ("inverse", "A", "B", 1, "p", "X", "q", 1) in want and len({w[3] for w in want}) == 2
+    assert ("direct", "E", "q", "C") in added and {("inverse", "B", "p", "X"), ("inverse", "X", "q", "A")} <= added
+    e, p = spark.createDataFrame(edges, "source string, target string, type string"), spark.createDataFrame(pairs, "id string, a string, b string")
+    two = graphs.two_hop_links(p, e)
+    got = [tuple(x) for x in two.select("id", "a", "b", "direction", "p1", "x", "p2", "rank").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(x) for x in graphs.link_edges(graphs.one_hop_links(p, e), two).select("id", "source", "type", "target").collect()} == added
+
+
 def test_dewey_round_trip(spark):
     schema = "id string, other int, v array<struct<a:string,m:map<string,array<string>>,s:struct<b:int>>>"
     df = spark.createDataFrame([("1", 5, [("x", {"p": ["u", None], "q": []}, (3,)), None, ("y", None, None)]), ("2", 6, None), (None, 7, [])], schema)
