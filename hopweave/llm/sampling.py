@@ -7,8 +7,9 @@ smallest random keys are taken; shortfalls are reported.
 A record has one difficulty and one reasoning type but any number of ontologies, so
 quotas of the three dimensions must hold together.  Records are counted in cells
 (difficulty, reasoning type, set of listed ontologies); cell weights are raked until
-every category reaches its quota, rounded by largest remainder, and single units are
-moved between cells while that brings categories closer to their quotas.
+every category reaches its quota, rounded by largest remainder, and blocks of records,
+halved down to single ones, are moved between cells while that brings categories closer
+to their quotas.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from ..operators.ranks import hash_key, rank_within
 
 #: Cells that the driver takes. Listed categories bound them: 5 difficulties, 3 types and 11 ontologies give 30,720.
 MAX_CELLS = 65_536
-RAKING_ROUNDS, MOVES = 300, 4000
+RAKING_ROUNDS = 300
+#: Blocks start at this part of the sample, so that the moves needed do not grow with it. Exchanges that are compared at once.
+BLOCKS, EXCHANGES = 1000, 50_000
 SINGLE = ("difficulty", "reasoning_type")
 MULTI = "matched_ontologies"
 
@@ -113,25 +116,31 @@ def cell_quotas(cells: list[tuple[str | None, str | None, tuple[str, ...], int]]
     weight = 1 / np.sqrt(np.maximum(quota, 1))
 
     def loss(sums: np.ndarray) -> np.ndarray:
-        return (np.abs(sums - quota) * weight).sum(-1) + 10 * np.maximum(0, floor - sums).sum(-1)
-
-    for _ in range(MOVES):
-        sums = has.T @ take
-        now = loss(sums)
-        out_of, into = take > 0, take < count
-        less = loss(sums[None, :] - has)
-        a = int(np.argmin(np.where(out_of, less, np.inf)))
-        after = loss((sums - has[a])[None, :] + has)
-        b = int(np.argmin(np.where(into, after, np.inf)))
-        if a == b or after[b] >= now - 1e-9:
-            # The best single removal may be none of the best exchange: try every removal once.
-            pairs = [(loss((sums - has[x])[None, :] + has), x) for x in np.flatnonzero(out_of)[:512]]
-            best = min(((np.where(into, v, np.inf).min(), x, int(np.argmin(np.where(into, v, np.inf)))) for v, x in pairs), default=(np.inf, 0, 0))
-            if best[0] >= now - 1e-9:
-                break
-            a, b = best[1], best[2]
-        take[a] -= 1
-        take[b] += 1
+        return np.abs(sums - quota) * weight + 10 * np.maximum(0, floor - sums)
+
+    step = max(1, EXCHANGES // len(cells))
+    block = max(1, size // BLOCKS)
+    while block:
+        moved = False
+        for first in range(0, len(cells), step):
+            part = has[first : first + step]
+            while True:
+                sums = has.T @ take
+                now = loss(sums)
+                more, less = loss(sums + block) - now, loss(sums - block) - now
+                # A category of both cells keeps its sum.
+                change = (part @ less)[:, None] + (has @ more)[None, :] - (part * (more + less)) @ has.T
+                change[take[first : first + step] < block] = np.inf
+                change[:, count - take < block] = np.inf
+                a, b = np.unravel_index(int(np.argmin(np.round(change, 9))), change.shape)
+                if change[a, b] >= -1e-9:
+                    break
+                take[first + a] -= block
+                take[b] += block
+                moved = True
+        # What a later part moved may let an earlier one move again.
+        if not moved or len(cells) <= step:
+            block //= 2
     return [int(x) for x in take], wanted
 
 

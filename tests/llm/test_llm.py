@@ -68,6 +68,38 @@ def test_overlaps_in_hot_answers_equal_brute_force(spark, monkeypatch):
 TARGET = "dimension string, category string, target_share double, min_rows bigint, sample_rows bigint"
 
 
+def test_sample_plan_does_not_depend_on_size(monkeypatch):
+    r = random.Random(4)
+    onts = [f"o{i}" for i in range(6)]
+    kinds = sorted({(r.choice("xyz"), r.choice("pq"), tuple(sorted(r.sample(onts, r.randint(0, 3))))) for _ in range(90)})
+    cells = [(*k, int(r.paretovariate(0.8) * 40)) for k in kinds]
+    shares = [("difficulty", c, s, 20) for c, s in zip("xyz", (0.6, 0.3, 0.1))] + [("reasoning_type", c, s, 20) for c, s in zip("pq", (0.2, 0.8))] + [("matched_ontologies", o, s, 20) for o, s in zip(onts, (0.5, 0.4, 0.1, 0.05, 0.05, 0.3))]
+    size = sum(c[3] for c in cells) // 2
+
+    def plan(times):
+        big, targets = [(*c[:3], c[3] * times) for c in cells], [(*t[:3], t[3] * times) for t in shares]
+        take, quota = sampling.cell_quotas(big, targets, size * times)
+        assert sum(take) == size * times and all(0 <= n <= c[3] for n, c in zip(take, big))
+        has = [[k in (c[0], c[1], *c[2]) for _, k, _, _ in targets] for c in big]
+        sums = [sum(n for n, h in zip(take, has) if h[i]) for i in range(len(targets))]
+        want = [quota[t[0], t[1]] for t in targets]
+        loss = lambda x: sum(abs(v - q) / max(q, 1) ** 0.5 + 10 * max(0, min(t[3], sum(c[3] for c, h in zip(big, has) if h[i])) - v) for i, (v, q, t) in enumerate(zip(x, want, targets)))
+        now = loss(sums)
+        # No exchange of one record between any two cells makes it better.
+        for a in range(len(big)):
+            for b in range(len(big)):
+                if take[a] and take[b] < big[b][3] and a != b:
+                    assert loss([v - h + g for v, h, g in zip(sums, has[a], has[b])]) >= now - 1e-6
+        return [v / times / size for v in sums], take
+
+    small, large = plan(1), plan(1000)
+    assert max(abs(x - y) for x, y in zip(small[0], large[0])) < 0.01
+    # Comparing fewer exchanges at once leaves none out.
+    monkeypatch.setattr(sampling, "EXCHANGES", 3 * len(cells))
+    parts = plan(100)
+    assert max(abs(x - y) for x, y in zip(small[0], parts[0])) < 0.01
+
+
 def test_sample(spark):
     r = random.Random(2)
     rows = [(f"r{i}", r.choice(["x", "x", "x", "y", None]), r.choice(["p", "q"]), [(o,) for o in r.sample(["o1", "o2", "o3"], r.randint(0, 2))]) for i in range(600)] + [("r0", "x", "p", None), (None, "y", "p", [])]
