@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hopweave.functions import text as T
 from hopweave.operators import dewey, graphs, metrics, paths, ranks, rows
 from hopweave.operators.components import connected_components
+from hopweave.plans import nested
 
 
 def one(spark, col, **values):
@@ -190,6 +191,19 @@ def test_parsed_subgraphs(spark):
     assert got == {("extra", "a", "Q1", "P1", "Q2"), ("extra", "a", "Q1", "P2", "Q3"), ("extra", "b", "Q5", "P1", "Q6"), ("path", "r", "Q1", "P1", "Q2")}
 
 
+def test_nested_tables_have_their_links(spark, tmp_path):
+    node = "struct<qid:string,props:map<string,array<string>>,extra_props:map<string,array<string>>>"
+    spark.createDataFrame([("g", "built", [("Q1", {}, {"P1": ["Q2", " "], "P2": [None]}), ("Q2", {}, None)])], f"id string, stage string, nodes array<{node}>").write.parquet(f"{tmp_path}/subgraph.parquet")
+    bodies = ['{"id":"a","nodes":[{"qid":"Q1"},{"qid":"Q1","extra_props":{"P1":"Q2","P2":["Q3"," "],"P4":null}}]}', '{"id":"b","nodes":{"Q5":{"extra_props":{"P1":["Q6"]}}}}', '{"id":"d", "nodes": [']
+    spark.createDataFrame(list(enumerate(bodies)), "line_no bigint, body string").write.parquet(f"{tmp_path}/raw_subgraph.parquet")
+    spark.createDataFrame([("r", "dev", [(1, [["Q1", "P1", "Q2"]]), (2, [["Q1", None, "Q2"], ["Q1", "P1"]])]), ("n", "dev", None)], "id string, split string, supporting_paths array<struct<length:int,triples:array<array<string>>>>").write.parquet(f"{tmp_path}/split_record.parquet")
+    got = lambda q: {tuple(x) for x in nested.QUERIES[q](spark, str(tmp_path)).collect()}
+    assert got("p7_extra_props") == {("g", "built", "0.0.0", "0.0", 0, "Q2", "P1"), ("g", "built", "0.0.1", "0.0", 1, " ", "P1"), ("g", "built", "0.1.0", "0.1", 0, None, "P2")}
+    assert got("p7_raw_extra_props") == {(0, "a", "1.0.0", "1.0", 0, "Q2", "P1"), (0, "a", "1.1.0", "1.1", 0, "Q3", "P2"), (0, "a", "1.1.1", "1.1", 1, " ", "P2"), (1, "b", "0.0.0", "0.0", 0, "Q6", "P1")}
+    assert got("p7_paths") == {("r", "dev", "0", 0, 1), ("r", "dev", "1", 1, 2)}
+    assert got("p7_path_triples") == {("r", "dev", "0.0", "0", 0, "Q1", "P1", "Q2"), ("r", "dev", "1.0", "1", 0, "Q1", None, "Q2"), ("r", "dev", "1.1", "1", 1, "Q1", "P1", None)}
+
+
 def test_report_without_qids(spark):
     s = spark.createDataFrame([(1, "x", 1.0, 0.5, 0.0)], "pred_id int, d string, em double, f1 double, h1 double")
     none = spark.createDataFrame([(False,)], "has_qid boolean")
