@@ -9,7 +9,7 @@ An answer node with many records is cut into blocks of evaluation texts and bloc
 of training texts, and every pair of blocks is one shard; so no shard is larger
 than ``EVAL_BLOCK`` by ``TRAIN_BLOCK`` texts, whatever the distribution.  Within a
 shard the automaton holds only the rarest passages of each evaluation text: as many
-as are needed that a text sharing ``SHARED`` of its passages cannot miss them all.
+as are needed that a text covering ``COVER_LONG`` of it cannot miss them all.
 Candidates are then compared in full.
 """
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from math import ceil
 
 import ahocorasick
 import pandas as pd
@@ -34,7 +33,7 @@ SPAN = 5
 COVER_SHORT, COVER_LONG = 0.75, 0.55
 #: The same where one record has no entities, so that only its wording tells what it asks about.
 COVER_BARE = 0.9
-#: Least share of an evaluation text's passages that a training text must hold to be compared with it.
+#: Share of an evaluation text's passages that near copies commonly hold; no pair is left out for holding fewer.
 SHARED = 0.4
 EVAL_BLOCK, TRAIN_BLOCK = 512, 8192
 
@@ -70,13 +69,25 @@ def alike(a: str, b: str, bare: bool, of_a: float, of_b: float) -> bool:
     return short >= COVER_SHORT and long >= COVER_LONG
 
 
+def least_shared(text: str) -> int:
+    """Passages of ``text`` that any text covering ``COVER_LONG`` of it shares at least."""
+    often = Counter(text[i : i + SPAN] for i in range(max(1, len(text) - SPAN + 1)))
+    need, k = COVER_LONG * len(text) - 1e-9, 0
+    for n in sorted(often.values(), reverse=True):
+        if need <= 0:
+            break
+        need -= n * SPAN
+        k += 1
+    return max(1, k)
+
+
 def rare_passages(texts: list[str]) -> dict[str, list[int]]:
     """Rare passages to the texts that they stand for: of each text so many that no near copy lacks all of them."""
     often = Counter(p for t in texts for p in _passages(t))
     out: dict[str, list[int]] = {}
     for i, t in enumerate(texts):
         own = sorted(_passages(t), key=lambda p: (often[p], p))
-        for p in own[: len(own) - ceil(SHARED * len(own)) + 1]:
+        for p in own[: len(own) - least_shared(t) + 1]:
             out.setdefault(p, []).append(i)
     return out
 
@@ -87,6 +98,7 @@ class _Shard:
     def __init__(self) -> None:
         self.rows: list[tuple[str, str, frozenset]] = []
         self.machine = None
+        self.least: list[int] = []
 
     def add(self, key: str, text: str, entities: Iterable[str]) -> None:
         self.rows.append((key, text, frozenset(entities)))
@@ -95,6 +107,7 @@ class _Shard:
         self.machine = ahocorasick.Automaton()
         texts = [t for _, t, _ in self.rows]
         rare = rare_passages(texts)
+        self.least = [least_shared(t) for t in texts]
         for p in {p for t in texts for p in _passages(t)}:
             self.machine.add_word(p, (p, rare.get(p, ())))
         self.machine.make_automaton()
@@ -111,7 +124,10 @@ class _Shard:
         for i in near:
             key, other, theirs = self.rows[i]
             if entities <= theirs or theirs <= entities:
-                of_eval, of_train = coverage(other, text, _passages(other) & matched)
+                shared = _passages(other) & matched
+                if len(shared) < self.least[i]:
+                    continue
+                of_eval, of_train = coverage(other, text, shared)
                 if alike(other, text, not entities or not theirs, of_eval, of_train):
                     yield key, of_eval
 
@@ -139,8 +155,7 @@ def cross_split_overlaps(records: DataFrame, train: str = "train") -> DataFrame:
     columns are ignored.  A pair has different ids, the same answer node, the entities
     of one among those of the other, and texts that are equal or nearly so after
     folding case, accents, look-alikes and punctuation: shared passages cover
-    ``COVER_SHORT`` of the shorter and ``COVER_LONG`` of the longer text, and make up
-    ``SHARED`` of the evaluation text's.  Null ids, splits, questions and
+    ``COVER_SHORT`` of the shorter and ``COVER_LONG`` of the longer text.  Null ids, splits, questions and
     answer nodes, and texts without a letter or digit, take part in no pair.  A null or
     empty entity list is a subset of any other; such texts must agree more closely.
     Repeated rows count once.

@@ -64,6 +64,29 @@ def test_overlaps_in_hot_answers_equal_brute_force(spark, monkeypatch):
     assert got == want and len(want) > 50
 
 
+def test_overlap_in_many_short_matches():
+    parts = ["novelbarrow", "hidingcomet", "jumpyfalcon", "wormyplaque", "stuckgizmos"]
+    held = "".join(p + "".join(chr(0x430 + 9 * i + j) for j in range(9)) for i, p in enumerate(parts))
+    train = "wxyz".join(parts)
+    shared = leakage._passages(held) & leakage._passages(train)
+    assert len(shared) < leakage.SHARED * len(leakage._passages(held)) and leakage.alike(held, train, False, *leakage.coverage(held, train, shared))
+    # Other texts of the block make the shared passages common ones; whether the pair is found must not depend on them.
+    for others in (0, 20):
+        shard = leakage._Shard()
+        shard.add("held", held, ["E"])
+        for i in range(others):
+            shard.add(f"o{i}", "-".join(parts) + f"{i}", ["other"])
+        assert [k for k, _ in shard.partners(train, frozenset(["E"]))] == ["held"]
+
+
+def test_least_shared_is_a_bound():
+    r = random.Random(9)
+    for _ in range(3000):
+        text = "".join(r.choice("abc") for _ in range(r.randint(1, 24)))
+        some = frozenset(p for p in leakage._passages(text) if r.random() < 0.4)
+        assert leakage.covered(text, some) < leakage.COVER_LONG * len(text) - 1e-9 or len(some) >= leakage.least_shared(text)
+
+
 # 2: balanced samples
 TARGET = "dimension string, category string, target_share double, min_rows bigint, sample_rows bigint"
 
