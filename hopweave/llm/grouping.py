@@ -38,9 +38,10 @@ def record_groups(records: DataFrame) -> DataFrame:
     each = records.where("id is not null").select("id", F.array_sort(entities).alias("e"))
     pivot = F.get("e", F.lit(0))
     links = each.where("size(e) > 1").select(pivot.alias("a"), F.explode(F.slice("e", 2, 1_000_000)).alias("b"))
-    # Rows of one id with different entities are linked through the id itself.
-    known = Scratch(spark, "records").cut(each.groupBy("id").agg(F.min(pivot).alias("pivot"), F.max(pivot).alias("other")))
-    links = links.unionByName(known.where("pivot <> other").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
+    # Rows of one id with different entities are linked through the id itself: each row's pivot to the smallest.
+    pivots = Scratch(spark, "records").cut(each.select("id", pivot.alias("other")).distinct())
+    known = pivots.groupBy("id").agg(F.min("other").alias("pivot"))
+    links = links.unionByName(pivots.join(known, "id").where("pivot <> other").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
     nodes = connected_components(links.distinct())
     return known.join(nodes, F.col("pivot") == F.col("node"), "left").select("id", F.coalesce("component", "pivot", F.concat(F.lit("record "), "id")).alias("group"))
 

@@ -211,6 +211,13 @@ def test_groups_and_splits(spark):
     assert grouping.grouped_splits(df.limit(0), targets).count() == 0
 
 
+def test_all_rows_of_an_id_are_linked(spark):
+    rows = [("r", ["A"], None), ("r", ["M", "N"], None), ("r", [], "O"), ("r", ["Z"], None), ("s", ["N"], None), ("t", ["Z"], None), ("u", None, "O"), ("v", ["A"], None), ("w", ["other"], None), ("x", None, None), ("x", [" "], "Y"), ("y", ["Y"], None)]
+    df = spark.createDataFrame(rows, "id string, entity_qids array<string>, answer_node_qid string")
+    assert sorted(map(tuple, grouping.related_records(df).collect())) == [*((i, "r") for i in "rstuv"), ("x", "x"), ("y", "x")]
+    assert len(grouping.record_groups(df).collect()) == 8
+
+
 def test_flow_keeps_quotas():
     flow = grouping.min_cost_flow([50, 30, 20], [70, 15, 15], [[0, 0, 0]] * 3, 2.0)
     assert [sum(f[j] for f in flow) for j in range(3)] == [70, 15, 15] and [sum(f) for f in flow] == [50, 30, 20]
