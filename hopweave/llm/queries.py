@@ -50,13 +50,18 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return grouping.related_records(_t(spark, d, "split_record"))
+    return grouping.related_records(_t(spark, d, "split_record"), _t(spark, d, "split_target"))
 
 
 def p5_splits(spark: SparkSession, d: str) -> DataFrame:
     return grouping.grouped_splits(_t(spark, d, "split_record"), _t(spark, d, "split_target"))
 
 
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per split and label: what the splits hold beside their targets."""
+    return grouping.split_report(_t(spark, d, "split_record"), _t(spark, d, "split_target"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return defects.defective_replies(_t(spark, d, "prediction"), _t(spark, d, "split_record"))
 
@@ -84,7 +89,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
+    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p5_report, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
 }
 
 ORACLES: dict[str, str] = {

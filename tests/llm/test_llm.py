@@ -202,8 +202,8 @@ def test_groups_and_splits(spark):
     for i, *_ in rows[:-1]:
         groups.setdefault(find("r" + i), []).append(i)
     want = {i: min(g) for g in groups.values() if len(g) > 1 for i in g}
-    assert {x.id: x.group_id for x in grouping.related_records(df).collect()} == want
     targets = spark.createDataFrame([("train", 0.7), ("validation", 0.15), ("test", 0.15)], "split string, target_share double")
+    assert {x.id: x.group_id for x in grouping.related_records(df, targets).collect()} == want
     split = {x.id: x.split for x in grouping.grouped_splits(df, targets).collect()}
     assert len(split) == 700 and all(len({split[i] for i in g}) == 1 for g in groups.values())
     if max(map(len, groups.values())) < 400:
@@ -214,13 +214,55 @@ def test_groups_and_splits(spark):
 def test_all_rows_of_an_id_are_linked(spark):
     rows = [("r", ["A"], None), ("r", ["M", "N"], None), ("r", [], "O"), ("r", ["Z"], None), ("s", ["N"], None), ("t", ["Z"], None), ("u", None, "O"), ("v", ["A"], None), ("w", ["other"], None), ("x", None, None), ("x", [" "], "Y"), ("y", ["Y"], None)]
     df = spark.createDataFrame(rows, "id string, entity_qids array<string>, answer_node_qid string")
-    assert sorted(map(tuple, grouping.related_records(df).collect())) == [*((i, "r") for i in "rstuv"), ("x", "x"), ("y", "x")]
+    targets = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "split string, target_share double")
+    assert sorted(map(tuple, grouping.related_records(df.withColumn("difficulty", F.lit("x")), targets).collect())) == [*((i, "r") for i in "rstuv"), ("x", "x"), ("y", "x")]
     assert len(grouping.record_groups(df).collect()) == 8
 
 
 def test_flow_keeps_quotas():
-    flow = grouping.min_cost_flow([50, 30, 20], [70, 15, 15], [[0, 0, 0]] * 3, 2.0)
-    assert [sum(f[j] for f in flow) for j in range(3)] == [70, 15, 15] and [sum(f) for f in flow] == [50, 30, 20]
+    free = [[[(1e9, 0.0)]] * 3] * 3
+    flow = grouping.min_cost_flow([50, 30, 20], [70, 15, 15], free)
+    assert list(flow.sum(axis=0)) == [70, 15, 15] and list(flow.sum(axis=1)) == [50, 30, 20]
+
+
+def test_flow_costs_least():
+    r = random.Random(5)
+    for _ in range(60):
+        supply = [r.randint(0, 4) for _ in range(3)]
+        quota = [r.randint(0, 4) for _ in range(2)]
+        steps = [[[(1, float(x)), (1, float(x + y)), (float("inf"), float(x + y + z))] for x, y, z in [[r.randint(0, 3) for _ in range(3)]] * 1] for _ in range(6)]
+        steps = [[steps[2 * b][0], steps[2 * b + 1][0]] for b in range(3)]
+
+        def cost(flow):
+            spent = 16.0 * sum(max(0, sum(f[j] for f in flow) - quota[j]) for j in range(2))
+            for b in range(3):
+                for j in range(2):
+                    n = flow[b][j]
+                    for u, c in steps[b][j]:
+                        spent += min(n, u) * c
+                        n -= min(n, u)
+            return spent
+
+        got = grouping.min_cost_flow(supply, quota, steps)
+        best = min(cost([(a, supply[0] - a), (b, supply[1] - b), (c, supply[2] - c)]) for a in range(supply[0] + 1) for b in range(supply[1] + 1) for c in range(supply[2] + 1))
+        assert list(got.sum(axis=1)) == supply and abs(cost(got.tolist()) - best) < 1e-6
+
+
+def test_splits_differ_neither_in_labels_nor_in_sizes():
+    r = random.Random(8)
+    bundles = [(label, size, max(1, int(400 / size**1.5))) for label in "xyz" for size in [*range(1, 40), *sorted(r.sample(range(41, 120), 12))]]
+    shares = [0.15, 0.7, 0.15]
+    got = grouping.allocate(bundles, shares)
+    total = sum(s * n for _, s, n in bundles)
+    for j, share in enumerate(shares):
+        assert abs(sum(n[j] * s for (_, s), n in got.items()) / total - share) < 0.02
+        for label in "xyz":
+            own = sum(s * n for k, s, n in bundles if k == label)
+            assert abs(sum(n[j] * s for (k, s), n in got.items() if k == label) / own - share) < 0.02
+        assert max(s for (_, s), n in got.items() if n[j]) >= 60
+    assert all(sum(got[k, s]) == n for k, s, n in bundles)
+    # What is larger than a quota goes where it fits.
+    assert grouping.allocate([("x", 500, 1), ("x", 1, 500)], shares)["x", 500] == [0, 1, 0]
 
 
 # 6: defects
