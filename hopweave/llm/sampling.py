@@ -14,14 +14,14 @@ to their quotas.
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranks import hash_key, rank_within
 
-#: Cells that the driver takes. Listed categories bound them: 5 difficulties, 3 types and 11 ontologies give 30,720.
-MAX_CELLS = 65_536
 RAKING_ROUNDS = 300
 #: Blocks start at this part of the sample, so that the moves needed do not grow with it. Exchanges that are compared at once.
 BLOCKS, EXCHANGES = 1000, 50_000
@@ -29,31 +29,35 @@ SINGLE = ("difficulty", "reasoning_type")
 MULTI = "matched_ontologies"
 
 
-def record_cells(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(id, difficulty, reasoning_type, ontologies)`` of every distinct record; only listed ontologies, sorted.
+#: Target rows as the driver plans with them.
+Target = tuple[str, str, float, int, int]
+
+
+def read_targets(targets: DataFrame) -> list[Target]:
+    """The rows of the small fixed table of targets: ``(dimension, category, share, min_rows, sample_rows)``; nulls count as 0, repeated categories keep their largest numbers."""
+    rows: dict[tuple[str, str], tuple[float, int, int]] = {}
+    for t in targets.where("dimension is not null and category is not null").select("dimension", "category", "target_share", "min_rows", "sample_rows").collect():
+        new = (float(t[2] or 0), int(t[3] or 0), int(t[4] or 0))
+        rows[t[0], t[1]] = tuple(map(max, new, rows.get((t[0], t[1]), new)))
+    return [(*k, *rows[k]) for k in sorted(rows)]
+
 
-    Rows without an id are left out; rows of one id count once, with the largest value of each field.
+def record_cells(records: DataFrame, targets: list[Target]) -> DataFrame:
+    """``(id, difficulty, reasoning_type, ontologies)`` of every distinct record; only listed categories, ontologies sorted.
+
+    Rows without an id are left out; rows of one id count once, with the largest value of each
+    field.  Categories that no target names are null, so the cells are bounded by the targets.
     """
-    listed = targets.where(F.col("dimension") == MULTI).agg(F.collect_set("category").alias("listed"))
-    wanted = listed.first()["listed"]
-    onts = F.array_sort(F.array_distinct(F.filter(F.transform(MULTI, lambda m: m["ont_id"]), lambda x: x.isin(wanted) if wanted else F.lit(False))))
-    return records.where("id is not null").select("id", *SINGLE, F.coalesce(onts, F.array().cast("array<string>")).alias("ontologies")).groupBy("id").agg(*(F.max(c).alias(c) for c in SINGLE), F.max("ontologies").alias("ontologies"))
-
-
-def category_supply(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """The rows of ``targets`` with ``available``, the number of records of the category, and ``needed``:
-    the larger of ``min_rows`` and ``target_share * sample_rows``."""
-    cells = record_cells(records, targets).groupBy(*SINGLE, "ontologies").agg(F.count("*").alias("n"))
-    of = F.concat(*(F.array(F.struct(F.lit(c).alias("dimension"), F.col(c).alias("category"))) for c in SINGLE), F.transform("ontologies", lambda o: F.struct(F.lit(MULTI).alias("dimension"), o.alias("category"))))
-    counted = cells.select("n", F.explode(of).alias("c")).groupBy("c.dimension", "c.category").agg(F.sum("n").alias("available"))
-    # A product like 0.07 * 6000 is a little more than 420; such a last digit is no need.
-    needed = F.greatest(F.coalesce(F.col("min_rows").cast("double"), F.lit(0.0)), F.round(F.coalesce(F.col("target_share") * F.col("sample_rows"), F.lit(0.0)), 6))
-    return targets.join(counted, ["dimension", "category"], "left").withColumns({"available": F.coalesce("available", F.lit(0)), "needed": needed})
+    named = {d: [c for k, c, *_ in targets if k == d] for d in (*SINGLE, MULTI)}
+    onts = F.array_sort(F.array_distinct(F.filter(F.transform(MULTI, lambda m: m["ont_id"]), lambda x: x.isin(named[MULTI]) if named[MULTI] else F.lit(False))))
+    one = records.where("id is not null").select("id", *SINGLE, F.coalesce(onts, F.array().cast("array<string>")).alias("ontologies")).groupBy("id").agg(*(F.max(c).alias(c) for c in SINGLE), F.max("ontologies").alias("ontologies"))
+    return one.withColumns({c: F.when(F.col(c).isin(named[c]) if named[c] else F.lit(False), F.col(c)) for c in SINGLE})
 
 
-def short_categories(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """Distinct ``(dimension, category)`` of the targets that more records would be needed for than exist."""
-    return category_supply(records, targets).where("available < needed").select("dimension", "category").distinct()
+def needed(target: Target) -> float:
+    """The larger of ``min_rows`` and ``target_share * sample_rows``."""
+    # A product like 0.07 * 6000 is a little more than 420; such a last digit is no need.
+    return max(float(target[3]), round(target[2] * target[4], 6))
 
 
 def largest_remainder(total: int, wanted: list[float], floors: list[int], caps: list[int]) -> list[int]:
@@ -80,11 +84,11 @@ def largest_remainder(total: int, wanted: list[float], floors: list[int], caps:
     return out
 
 
-def cell_quotas(cells: list[tuple[str | None, str | None, tuple[str, ...], int]], targets: list[tuple[str, str, float, int]], size: int) -> tuple[list[int], dict[tuple[str, str], int]]:
+def cell_quotas(cells: list[tuple[str | None, str | None, tuple[str, ...], int]], targets: list[Target], size: int) -> tuple[list[int], dict[tuple[str, str], int]]:
     """How many records to take of each cell ``(difficulty, reasoning type, ontologies, count)``, and the quota of each category."""
     count = np.array([c[3] for c in cells], dtype=float)
     size = min(size, int(count.sum()))
-    has = np.array([[(c[0] == k) if d == SINGLE[0] else (c[1] == k) if d == SINGLE[1] else k in c[2] for d, k, _, _ in targets] for c in cells], dtype=float).reshape(len(cells), len(targets))
+    has = np.array([[(c[0] == k) if d == SINGLE[0] else (c[1] == k) if d == SINGLE[1] else k in c[2] for d, k, *_ in targets] for c in cells], dtype=float).reshape(len(cells), len(targets))
     supply = has.T @ count
     quota = np.zeros(len(targets))
     for d in (*SINGLE, MULTI):
@@ -93,9 +97,9 @@ def cell_quotas(cells: list[tuple[str | None, str | None, tuple[str, ...], int]]
             continue
         shares = [targets[i][2] * size for i in own]
         floors, caps = [min(targets[i][3], size) for i in own], [int(supply[i]) for i in own]
-        # Ontologies overlap, so their quotas need not add up to the sample.
-        total = round(sum(shares)) if d == MULTI else min(size, round(sum(shares)))
-        quota[own] = largest_remainder(total, shares, floors, caps) if d != MULTI else [min(c, max(f, round(s))) for s, f, c in zip(shares, floors, caps)]
+        # Ontologies overlap, so their quotas need not add up to the sample, and none makes up for what another lacks.
+        total = round(sum(min(c, max(f, s)) for s, f, c in zip(shares, floors, caps))) if d == MULTI else min(size, round(sum(shares)))
+        quota[own] = largest_remainder(total, shares, floors, caps)
     wanted = {(t[0], t[1]): int(q) for t, q in zip(targets, quota)}
     if size == 0:
         return [0] * len(cells), wanted
@@ -145,26 +149,21 @@ def cell_quotas(cells: list[tuple[str | None, str | None, tuple[str, ...], int]]
 
 
 def _plan(records: DataFrame, targets: DataFrame):
-    cells = record_cells(records, targets)
-    rows = cells.groupBy(*SINGLE, "ontologies").agg(F.count("*").alias("n")).limit(MAX_CELLS + 1).collect()
-    if len(rows) > MAX_CELLS:
-        raise ValueError(f"the listed categories make more than {MAX_CELLS} cells")
-    found = sorted(((r[0], r[1], tuple(r[2]), r["n"]) for r in rows), key=lambda c: (c[0] or "", c[1] or "", c[2]))
-    listed = targets.where("dimension is not null and category is not null").orderBy("dimension", "category").limit(MAX_CELLS).collect()
-    wanted = [(t["dimension"], t["category"], float(t["target_share"] or 0), int(t["min_rows"] or 0)) for t in listed]
-    size = max((int(t["sample_rows"] or 0) for t in listed), default=0)
-    take, quota = cell_quotas(found, wanted, size)
-    return cells, found, take, quota
+    wanted = read_targets(targets)
+    cells = record_cells(records, wanted)
+    found = sorted(((r[0], r[1], tuple(r[2]), r["n"]) for r in cells.groupBy(*SINGLE, "ontologies").agg(F.count("*").alias("n")).collect()), key=lambda c: (c[0] or "", c[1] or "", c[2]))
+    take, quota = cell_quotas(found, wanted, max((t[4] for t in wanted), default=0))
+    return cells, wanted, found, take, quota
 
 
 def balanced_sample(records: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     """``(id, difficulty, reasoning_type, ontologies)`` of a sample of ``sample_rows`` records.
 
-    Where fewer records exist, all of them are taken.  Null categories are categories
-    that no target names: their records fill up what named ones leave.
+    Where fewer records exist, all of them are taken.  Categories that no target names are
+    null: their records fill up what named ones leave.
     """
     spark = records.sparkSession
-    cells, found, take, _ = _plan(records, targets)
+    cells, _, found, take, _ = _plan(records, targets)
     table = spark.createDataFrame([(*c[:3], n) for c, n in zip(found, take) if n], "d string, r string, o array<string>, quota int")
     same = cells[SINGLE[0]].eqNullSafe(F.col("d")) & cells[SINGLE[1]].eqNullSafe(F.col("r")) & (cells["ontologies"] == F.col("o"))
     chosen = cells.join(F.broadcast(table), same).drop("d", "r", "o").withColumn("key", hash_key(seed, "id"))
@@ -173,14 +172,25 @@ def balanced_sample(records: DataFrame, targets: DataFrame, seed: int = 42) -> D
 
 
 def sample_report(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """Each target with its quota, the records chosen for it, and what is missing to ``needed``."""
-    spark = records.sparkSession
-    _, found, take, quota = _plan(records, targets)
-    chosen = {k: 0 for k in quota}
+    """Each target with the records that exist and are needed, its quota, the records chosen for it, and what is missing to the need.
+
+    ``capped`` tells that no quota can reach the need of the category, taken by itself;
+    other misses come from the categories of several dimensions excluding each other.
+    """
+    _, wanted, found, take, quota = _plan(records, targets)
+    available, chosen = ({(t[0], t[1]): 0 for t in wanted} for _ in range(2))
     for c, n in zip(found, take):
         for k in ((SINGLE[0], c[0]), (SINGLE[1], c[1]), *((MULTI, o) for o in c[2])):
             if k in chosen:
+                available[k] += c[3]
                 chosen[k] += n
-    table = spark.createDataFrame([(*k, quota[k], chosen[k]) for k in quota], "dimension string, category string, quota bigint, chosen bigint")
-    missing = F.greatest(F.lit(0), F.ceil(F.col("needed")) - F.col("chosen"))
-    return category_supply(records, targets).join(F.broadcast(table), ["dimension", "category"]).select("dimension", "category", "target_share", "min_rows", "sample_rows", "available", "needed", "quota", "chosen", missing.alias("missing"))
+    rows = []
+    for t in wanted:
+        k, need = (t[0], t[1]), needed(t)
+        rows.append((*t, available[k], need, quota[k], chosen[k], max(0, ceil(need) - chosen[k]), need > available[k]))
+    return records.sparkSession.createDataFrame(rows, "dimension string, category string, target_share double, min_rows bigint, sample_rows bigint, available bigint, needed double, quota bigint, chosen bigint, missing bigint, capped boolean")
+
+
+def short_categories(records: DataFrame, targets: DataFrame) -> DataFrame:
+    """Distinct ``(dimension, category)`` of the targets whose quota is capped by the records that exist."""
+    return sample_report(records, targets).where("capped").select("dimension", "category")

@@ -100,10 +100,10 @@ def test_sample_plan_does_not_depend_on_size(monkeypatch):
     size = sum(c[3] for c in cells) // 2
 
     def plan(times):
-        big, targets = [(*c[:3], c[3] * times) for c in cells], [(*t[:3], t[3] * times) for t in shares]
+        big, targets = [(*c[:3], c[3] * times) for c in cells], [(*t[:3], t[3] * times, size * times) for t in shares]
         take, quota = sampling.cell_quotas(big, targets, size * times)
         assert sum(take) == size * times and all(0 <= n <= c[3] for n, c in zip(take, big))
-        has = [[k in (c[0], c[1], *c[2]) for _, k, _, _ in targets] for c in big]
+        has = [[k in (c[0], c[1], *c[2]) for _, k, *_ in targets] for c in big]
         sums = [sum(n for n, h in zip(take, has) if h[i]) for i in range(len(targets))]
         want = [quota[t[0], t[1]] for t in targets]
         loss = lambda x: sum(abs(v - q) / max(q, 1) ** 0.5 + 10 * max(0, min(t[3], sum(c[3] for c, h in zip(big, has) if h[i])) - v) for i, (v, q, t) in enumerate(zip(x, want, targets)))
