@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Blanks that do not count around an id.
+SPACES = " \t\r\n\u00a0"
 #: From an element and its entry's key, the value of a carried column.
 Pick = Callable[[Column, Column], Column]
 
@@ -171,23 +173,67 @@ def parse_subgraphs(df: DataFrame, body: str = "body", keep: list[str] | None =
     return at.select(*(keep or []), "id", F.explode(F.array(typed)).alias("nodes"))
 
 
+def content_key(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """``df`` with ``__h1`` and ``__h2``, two 64-bit hashes of ``keys`` and of the content of ``column``.
+
+    They name a row where its keys do not: rows that share them are repeats of each other.
+    """
+
+    def plain(c: Column, kind: T.DataType) -> Column:
+        # Maps cannot be hashed, their lists of entries can.
+        if isinstance(kind, T.MapType):
+            return F.transform(F.map_entries(c), lambda e: F.struct(e["key"], plain(e["value"], kind.valueType)))
+        if isinstance(kind, T.ArrayType):
+            return c if _simple(kind.elementType) else F.transform(c, lambda e: plain(e, kind.elementType))
+        if isinstance(kind, T.StructType):
+            return F.struct(*(plain(c[f.name], f.dataType).alias(f.name) for f in kind.fields))
+        return c
+
+    whole = plain(F.col(column), df.schema[column].dataType)
+    return df.withColumns({"__h1": F.xxhash64(*keys, whole), "__h2": F.xxhash64(F.lit("second"), *keys, whole)})
+
+
+def _labelled(df: DataFrame, column: str, path: str, carry: dict[str, dict[str, Pick]] | None = None) -> DataFrame:
+    return dewey_table(df, ["__h1", "__h2", "id"], column, path, carry)
+
+
+def _extra_links(graphs: DataFrame) -> DataFrame:
+    """``id, source_qid, pid, target_qid`` from the tables of nodes, entries and values, related by truncated labels."""
+    nodes_of = F.transform("nodes", lambda n: F.struct(n["qid"].alias("qid"), n["extra_props"].alias("extra_props")))
+    keyed = content_key(graphs.where("id is not null").select("id", nodes_of.alias("nodes")), ["id"], "nodes")
+    row = ["__h1", "__h2"]
+    cut = lambda c: F.btrim(c, F.lit(SPACES))
+    # Every table is made distinct where its join needs it anyway, so rows that repeat do not multiply.
+    values = _labelled(keyed, "nodes", "nodes[].extra_props{}[]").withColumn("value", cut("value")).where("value <> ''")
+    values = values.groupBy(*row, F.col("parent").alias("entry")).agg(F.first("id").alias("id"), F.collect_set("value").alias("targets"))
+    entries = _labelled(keyed, "nodes", "nodes[].extra_props{}").withColumn("pid", cut("key")).where("pid <> ''")
+    entries = entries.groupBy(*row, F.col("dewey").alias("entry")).agg(F.first("pid").alias("pid"))
+    nodes = _labelled(keyed, "nodes", "nodes[]", {"nodes[]": {"qid": lambda v, k: v["qid"]}}).withColumn("qid", cut("qid")).where("qid <> ''")
+    nodes = nodes.groupBy(*row, F.col("dewey").alias("node")).agg(F.first("qid").alias("qid"))
+    found = values.join(entries, [*row, "entry"]).withColumn("node", parent_of(F.col("entry"))).join(nodes, [*row, "node"])
+    return found.select("id", F.col("qid").alias("source_qid"), "pid", F.explode("targets").alias("target_qid"))
+
+
+def _path_links(records: DataFrame) -> DataFrame:
+    """``id, source_qid, pid, target_qid`` from the table of the parts of triples, grouped by the triple's label."""
+    keyed = content_key(records.where("id is not null").select("id", "supporting_paths"), ["id"], "supporting_paths")
+    parts = _labelled(keyed, "supporting_paths", "supporting_paths[].triples[][]").where("ordinal < 3").withColumn("value", F.btrim("value", F.lit(SPACES)))
+    names = ["source_qid", "pid", "target_qid"]
+    triples = parts.groupBy("__h1", "__h2", "parent").agg(F.first("id").alias("id"), *(F.max(F.when(F.col("ordinal") == i, F.col("value"))).alias(c) for i, c in enumerate(names)))
+    return triples.where(" and ".join(f"{c} <> ''" for c in names)).select("id", *names)
+
+
 def nested_links(subgraph: DataFrame, raw_subgraph: DataFrame, split_record: DataFrame) -> DataFrame:
     """Rows ``(link_kind, id, source_qid, pid, target_qid)``, distinct.
 
     ``extra``: each non-blank value of ``nodes.extra_props``, of typed and of parsed
     subgraphs, with the node's qid and the property.  ``path``: each triple of
     ``supporting_paths`` whose three parts are present.  Blanks around ids are cut; a
-    row with a blank or null part, or without an id, is no link.
+    row with a blank or null part, or without an id, is no link.  Children find their
+    parents by their labels, cut by an ordinal, within rows that their content names.
     """
-    spaces = " \t\r\n\u00a0"
-    own: dict[str, Pick] = {"pid": lambda v, k: k}
-    extra = {"nodes[]": {"source_qid": lambda v, k: v["qid"]}, "nodes[].extra_props{}": own, "nodes[].extra_props{}[]": {"target_qid": lambda v, k: v}}
-    triple = {"supporting_paths[].triples[]": {c: (lambda v, k, i=i: F.get(v, F.lit(i))) for i, c in enumerate(("source_qid", "pid", "target_qid"))}}
-    found = [
-        dewey_table(subgraph, ["id"], "nodes", "nodes[].extra_props{}[]", extra).withColumn("link_kind", F.lit("extra")),
-        dewey_table(parse_subgraphs(raw_subgraph), ["id"], "nodes", "nodes[].extra_props{}[]", extra).withColumn("link_kind", F.lit("extra")),
-        dewey_table(split_record, ["id"], "supporting_paths", "supporting_paths[].triples[]", triple).withColumn("link_kind", F.lit("path")),
-    ]
-    parts = ["source_qid", "pid", "target_qid"]
-    cut = [t.select("link_kind", "id", *(F.btrim(F.col(c), F.lit(spaces)).alias(c) for c in parts)).where(" and ".join(f"{c} <> ''" for c in parts) + " and id is not null") for t in found]
+    typed = subgraph.select("id", "nodes")
+    loose = parse_subgraphs(raw_subgraph).select("id", "nodes")
+    kinds = [("extra", _extra_links(typed)), ("extra", _extra_links(loose)), ("path", _path_links(split_record))]
+    cut = [t.select(F.lit(kind).alias("link_kind"), "id", "source_qid", "pid", "target_qid") for kind, t in kinds]
     return cut[0].unionByName(cut[1]).unionByName(cut[2]).distinct()

@@ -24,10 +24,12 @@ def p7_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_node_props(spark: SparkSession, d: str) -> DataFrame:
     """The flat table of property values, joined to their entries by truncated labels."""
-    g = _t(spark, d, "subgraph")
-    entry = dewey.dewey_table(g, ["id", "stage"], "nodes", "nodes[].props{}").selectExpr("id", "stage", "dewey as parent", "key as pid")
-    value = dewey.dewey_table(g, ["id", "stage"], "nodes", "nodes[].props{}[]").select("id", "stage", "dewey", "parent", "ordinal", "value")
-    return value.join(entry, ["id", "stage", "parent"])
+    g = dewey.content_key(_t(spark, d, "subgraph").select("id", "stage", F.transform("nodes", lambda n: F.struct(n["props"].alias("props"))).alias("nodes")), ["id", "stage"], "nodes")
+    keys = ["__h1", "__h2", "id", "stage"]
+    # Entries of repeated rows are equal, so each is taken once; values stay as they are.
+    entry = dewey.dewey_table(g, keys[:2], "nodes", "nodes[].props{}").groupBy(*keys[:2], F.col("dewey").alias("parent")).agg(F.first("key").alias("pid"))
+    value = dewey.dewey_table(g, keys, "nodes", "nodes[].props{}[]").select(*keys, "dewey", "parent", "ordinal", "value")
+    return value.join(entry, [*keys[:2], "parent"]).select("id", "stage", "parent", "dewey", "ordinal", "value", "pid")
 
 
 _EXTRA = {"nodes[].extra_props{}": {"pid": lambda v, k: k}}
