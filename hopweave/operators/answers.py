@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +34,30 @@ def answer_nodes(questions: DataFrame, nodes: DataFrame, threshold: float = 0.5)
     has = F.col("e.tier") <= 2
     out = questions.select("id").join(found, "id", "left")
     return out.select("id", F.when(has, F.col("e.tier")).when(F.col("similar") > 0, 3).otherwise(4).alias("tier"), F.when(has, F.col("e.qid")).when(F.col("similar") > 0, F.col("s")).alias("qid"), F.when(has, 0).otherwise(F.coalesce("similar", F.lit(0))).cast("bigint").alias("candidates"))
+
+
+def judged(candidates: DataFrame, judge: Callable[[str, str], bool]) -> DataFrame:
+    """``id, rank, qid, verdict`` of ``id, rank, qid, answer, label``: what ``judge(answer, label)`` says.
+
+    ``judge`` may ask a model; it runs in the executors, a batch of rows at a time.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            said = [bool(judge(a, b)) if a is not None and b is not None else False for a, b in zip(pdf.answer, pdf.label)]
+            yield pd.DataFrame({"id": pdf.id, "rank": pdf["rank"], "qid": pdf.qid, "verdict": said})
+
+    return candidates.select("id", "rank", "qid", "answer", "label").mapInPandas(run, "id string, rank int, qid string, verdict boolean")
+
+
+def confirmed(verdicts: DataFrame) -> DataFrame:
+    """``id, qid, rank`` of the first candidate of each question that was confirmed."""
+    return verdicts.where("verdict").groupBy("id").agg(F.min(F.struct("rank", "qid")).alias("m")).select("id", "m.qid", "m.rank")
+
+
+def routes(found: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """``id, route, reason, qid, tier`` of questions with ``id, tier, qid, has`` (null without a graph) and their confirmed candidates."""
+    j = found.join(confirmed.select("id", F.col("qid").alias("c")), "id", "left")
+    reason = F.when(F.col("has").isNull(), "no_subgraph").when(F.col("tier") == 4, "no_match").when((F.col("tier") == 3) & F.col("c").isNull(), "tier3_declined")
+    qid = F.when(F.col("has").isNotNull(), F.when(F.col("tier") <= 2, F.col("qid")).when(F.col("tier") == 3, F.col("c")))
+    return j.select("id", F.when(reason.isNull(), "found").otherwise("not_found").alias("route"), reason.alias("reason"), qid.alias("qid"), F.when(F.col("has").isNotNull(), F.col("tier")).alias("tier"))

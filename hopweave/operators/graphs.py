@@ -54,6 +54,57 @@ def expand_by_relations(seeds: DataFrame, merged: DataFrame, claims: DataFrame,
     return taken.join(last, ["key", "qid", "pid", "pos"]).select("key", "qid", "pid", "target")
 
 
+def build_edges(entities: DataFrame, merged: DataFrame, follow: DataFrame, concepts: DataFrame, claims: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """``id, section, source, type, target``, distinct: the edges of the graph of each question.
+
+    ``entities`` has ``id, key, qid, classes`` (``key`` names a list of ontologies), ``merged``
+    their relations, ``follow`` has ``key, class, pid`` of the concepts to extend, ``concepts``
+    ``key, class``, and ``known`` the ``target``s that are nodes.  An entity with a listed class
+    in the domain of a relation gives the claims that the relations allow, and its neighbours
+    what their concepts follow (section ``extra_props``); any other gives all its claims.  TYPE
+    edges lead to listed classes that are concepts of the ontologies.
+    """
+    listed = entities.select("id", "key", "qid", F.explode("classes").alias("class"))
+    gated = listed.join(merged.select("key", F.col("domain").alias("class")).distinct(), ["key", "class"], "left_semi").select("id", "key", "qid").distinct()
+    plain = entities.select("id", "qid").distinct().join(gated.select("id", "qid"), ["id", "qid"], "left_anti")
+    allowed = expand_by_relations(gated.select("key", "qid").distinct(), merged, claims, classes)
+    own = gated.join(allowed, ["key", "qid"]).join(known, "target", "left_semi")
+    every = plain.join(claims, "qid").join(known, "target", "left_semi")
+    near = own.select("id", "key", F.col("target").alias("qid")).distinct()
+    steps = near.join(classes, "qid").join(follow, ["key", "class"]).select("id", "qid", "pid").distinct()
+    extra = steps.join(claims, ["qid", "pid"]).join(known, "target", "left_semi")
+    kinds = listed.join(concepts, ["key", "class"], "left_semi")
+    edge = lambda df, section: df.select("id", F.lit(section).alias("section"), F.col("qid").alias("source"), F.col("pid").alias("type"), "target")
+    typed = kinds.select("id", F.lit("TYPE").alias("section"), F.col("qid").alias("source"), F.lit("TYPE").alias("type"), F.col("class").alias("target"))
+    return edge(own, "props").unionByName(edge(every, "props")).unionByName(edge(extra, "extra_props")).unionByName(typed).distinct()
+
+
+def built_nodes(entities: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id, qid``: the entities and all targets of edges that are no TYPE edges."""
+    return entities.select("id", "qid").unionByName(edges.where("section <> 'TYPE'").select("id", F.col("target").alias("qid"))).distinct()
+
+
+def merged_nodes(versions: DataFrame) -> DataFrame:
+    """One row per ``qid``: the first label and description by ``at`` that are not empty, and the sorted union of classes.
+
+    Aggregates combine map-side, so a node in a third of all graphs is no hot spot; a
+    node's distinct classes are few.
+    """
+    text = lambda c: F.min_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", F.col("at"))).alias(c)
+    lists = lambda c: F.array_sort(F.array_compact(F.array_distinct(F.flatten(F.collect_set(F.coalesce(c, F.array().cast("array<string>"))))))).alias(c)
+    return versions.groupBy("qid").agg(text("label"), text("description"), lists("instance_of"), lists("subclass_of"))
+
+
+def merged_props(versions: DataFrame) -> DataFrame:
+    """Distinct ``qid, field, pid, target`` over all versions; blank values are none."""
+    out = None
+    for field in ("props", "extra_props"):
+        each = versions.select("qid", F.lit(field).alias("field"), F.explode(field).alias("pid", "values")).select("qid", "field", "pid", F.explode("values").alias("target"))
+        each = each.withColumn("target", F.trim("target")).where("target <> ''")
+        out = each if out is None else out.unionByName(each)
+    return out.distinct()
+
+
 def closure(members: DataFrame, claims: DataFrame, rounds: int | None = None) -> DataFrame:
     """``id, qid, depth``: the members of each graph and the entities that they refer to, directly or through others, until nothing is added or up to ``rounds`` steps.
 
@@ -104,6 +155,16 @@ def link_edges(one_hop: DataFrame, two_hop: DataFrame) -> DataFrame:
     return near.unionByName(far.select("id", F.explode(both).alias("e")).select("id", "e.source", "e.type", "e.target")).distinct()
 
 
+def bridge_paths(pairs: DataFrame, one_hop: DataFrame, two_hop: DataFrame) -> DataFrame:
+    """``id, kind, length, triples``: the supporting path that links each pair, by one hop, else by the first way of two."""
+    forward = F.col("direction") == 0
+    start, end = F.when(forward, F.col("a")).otherwise(F.col("b")), F.when(forward, F.col("b")).otherwise(F.col("a"))
+    near = one_hop.select("id", F.lit("1hop").alias("kind"), F.lit(1).alias("length"), F.array(F.array(start, F.col("type"), end)).alias("triples"))
+    far = two_hop.where("rank = 1").join(one_hop.select("id"), "id", "left_anti")
+    far = far.select("id", F.lit("2hop").alias("kind"), F.lit(2).alias("length"), F.array(F.array(start, F.col("p1"), F.col("x")), F.array(F.col("x"), F.col("p2"), end)).alias("triples"))
+    return near.unionByName(far).join(pairs.select("id").distinct(), "id", "left_semi")
+
+
 def called_nodes() -> Column:
     """The nodes that a question's context is about: those of its shortest path, or its seeds."""
     best = F.array_min(F.transform("supporting_paths", lambda p, i: F.struct(p["length"].alias("length"), i.alias("i"))))

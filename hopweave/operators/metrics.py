@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -31,11 +31,20 @@ def metric_report(scored: DataFrame, dimensions: list[str], any_qid: DataFrame |
         key = F.when(F.col(f"__g_{d}") == 0, F.coalesce(F.col(d), F.lit("none"))).otherwise(key)
     out = grouped.select(name.alias("dimension"), key.alias("key"), "em", "f1", "h1", "n")
     if any_qid is not None:
-        has = any_qid.first()["has_qid"]
-        out = out.withColumn("h1", F.col("h1") if has else F.lit(None).cast("double"))
+        one = any_qid.select(F.lit(0).alias("__one"), "has_qid")
+        out = out.withColumn("__one", F.lit(0)).join(F.broadcast(one), "__one", "left").withColumn("h1", F.when(F.col("has_qid"), F.col("h1"))).drop("__one", "has_qid")
     return out
 
 
+def report_lines(report: DataFrame) -> DataFrame:
+    """``line_no, line`` of a report of ``metric_report``, by dimension and key; averages in per cent with one decimal."""
+    # A window without partitions: its rows are the few values of the dimensions.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("dimension", "key"))
+    per_cent = lambda c: F.format_string("%.1f%%", F.round(F.col(c) * 100, 1))
+    hits = F.when(F.col("h1").isNull(), "").otherwise(F.concat(F.lit(" H@1 "), per_cent("h1")))
+    return report.select(place.alias("line_no"), F.concat("dimension", F.lit(" "), "key", F.lit(": n="), F.col("n").cast("string"), F.lit(" EM "), per_cent("em"), F.lit(" F1 "), per_cent("f1"), hits).alias("line"))
+
+
 def context_type() -> Column:
     """What the context of a record holds: all of the reasoning, or part of it."""
     has_path = F.coalesce(F.size("supporting_paths") > 0, F.lit(False))

@@ -119,7 +119,7 @@ def closure_missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, d: str) -> DataFrame:
-    e = edges(spark, d).where("type <> 'TYPE'").select(F.concat_ws("|", "id", F.trim("source")).alias("a"), F.concat_ws("|", "id", F.trim("target")).alias("b"))
+    e = edges(spark, d).select(F.concat_ws("|", "id", F.trim("source")).alias("a"), F.concat_ws("|", "id", F.trim("target")).alias("b"))
     c = connected_components(e)
     return c.select(F.substring_index("node", "|", 1).alias("id"), F.substring_index("node", "|", -1).alias("qid"), F.substring_index("component", "|", -1).alias("component"))
 
@@ -266,11 +266,16 @@ wide as (select own.*, c.target from own join c using (qid, pid)),
 tk as (select distinct k, qid, pid, ont_pos, rel_pos, target from wide w where len(rng) = 0 or list_contains(rng, target) or exists (select 1 from cl where cl.qid = w.target and list_contains(w.rng, cl.k))),
 ex as (select k, qid, pid, target from (select *, dense_rank() over (partition by k, qid, pid order by ont_pos desc, rel_pos desc) r from tk) where r = 1)"""
 Q = "q as (select id, trim(answer_node_qid) answer from rec where reasoning_type = 'bridge' and trim(answer_node_qid) <> '' and id in (select id from sd))"
-CO = """ce as (select distinct id, trim(source) a, trim(target) b from e where "type" <> 'TYPE'), sy as (select id, a, b from ce union select id, b, a from ce),
+CO = """ce as (select distinct id, trim(source) a, trim(target) b from e), sy as (select id, a, b from ce union select id, b, a from ce),
 re(id, node, seed) as (select distinct id, a, a from sy union select re.id, sy.b, re.seed from re join sy on sy.id = re.id and sy.a = re.node where re.seed < sy.b),
 co as (select id, node qid, min(seed) component from re group by id, node)"""
 LP = "lp as (select id, trim(answer_node_qid) b, (select q from sd where sd.id = rec.id and q <> trim(answer_node_qid) order by pos limit 1) a from rec where strategy_used = 0 and coalesce(len(supporting_paths), 0) = 0 and exists (select 1 from sd where sd.id = rec.id and q = trim(answer_node_qid)))"
 L1 = "l1 as (select * from (select id, a, b, direction, pid \"type\", row_number() over (partition by id, a, b order by direction, pid) rn from (select id, a, b, 0 direction, pid from lp join c on a = qid and b = target union all select id, a, b, 1, pid from lp join c on b = qid and a = target)) where rn = 1)"
+#: Two-hop links in both directions, the inverse ones only where there is no forward one.
+L2 = """h0 as (select distinct lp.id, a, b, 0 direction, x.pid p1, x.target x, y.pid p2 from lp join c x on x.qid = a join c y on y.qid = x.target and y.target = b where x.target <> a and x.target <> b),
+h1 as (select distinct lp.id, a, b, 1 direction, x.pid p1, x.target x, y.pid p2 from lp join c x on x.qid = b join c y on y.qid = x.target and y.target = a where x.target <> a and x.target <> b),
+h2 as (select * from h0 union all select * from h1 where not exists (select 1 from h0 where h0.id = h1.id and h0.a = h1.a and h0.b = h1.b)),
+l2 as (select * from (select *, row_number() over (partition by id, a, b order by p1, x, p2)::int rank from h2) where rank <= 3)"""
 _m = lambda x: f"array_to_string({WORDS.format(x)}, ' ')"
 _fz = lambda x: f"case when least(length(af), length({x}f)) >= 3 and (contains(af, {x}f) or contains({x}f, af)) then 0.5::double + least(length(af), length({x}f))::double / (greatest(length(af), length({x}f)) + 1) when len({x}w) > 0 and len(aw) > 0 and len(list_intersect(aw, {x}w))::double / len(list_distinct(list_concat(aw, {x}w))) >= 0.5 then len(list_intersect(aw, {x}w))::double / len(list_distinct(list_concat(aw, {x}w))) else 0.0::double end"
 _ti = lambda x, c: f"case when {c} is null or {c} = '' then 4 when lower(trim(answer, ' ' || chr(9) || chr(10) || chr(160) || chr(12288) || chr(8239) || chr(8199) || chr(8201))) = lower(trim({c}, ' ' || chr(9) || chr(10) || chr(160) || chr(12288) || chr(8239) || chr(8199) || chr(8201))) then 1 when af = {x}f then 2 when {x}s > 0 then 3 else 4 end"
@@ -326,9 +331,9 @@ select m.id, source, 'TYPE' "type", k target from m join al using (id, k)""",
     "expand_concepts": f"""with {REC}, {SD}, {C}, {CL}, {CF}, {RL}, {MG}, {EX}, f0 as (select id ont_id, unnest(concepts_to_extend) x from ontology), f1 as (select ont_id, x.qid kl, unnest(x.follow_pids) pid from f0),
 al as (select distinct cf.k, kl, pid from cf join f1 using (ont_id)), nr as (select distinct k, target qid from ex), st as (select distinct nr.k, nr.qid, al.pid from nr join cl on cl.qid = nr.qid join al on al.k = nr.k and al.kl = cl.k)
 select st.k "key", st.qid, st.pid, c.target from st join c using (qid, pid)""",
-    "closure_missing": f"""with {G}, {N}, {C}, k as (select distinct qid from graph_node), m as (select distinct id, qid from n), r1 as (select distinct m.id, c.target qid from m join c using (qid) where c.target in (select qid from k)),
-d1 as (select * from r1 except select * from m), r2 as (select distinct d1.id, c.target qid from d1 join c using (qid) where c.target in (select qid from k)), d2 as (select * from r2 except select * from m except select * from d1)
-select id, qid, 1 depth from d1 union all select id, qid, 2 from d2""",
+    "closure_missing": f"""with recursive {G}, {N}, {C}, k as (select distinct qid from graph_node), st as (select distinct qid, target from c where target in (select qid from k)), m as (select distinct id, qid from n),
+r(id, qid, depth) using key (id, qid) as (select id, qid, 0 depth from m union select r.id, st.target, min(r.depth) + 1 from r join st using (qid) where not exists (select 1 from recurring.r p where p.id = r.id and p.qid = st.target) group by r.id, st.target)
+select id, qid, depth from r where depth > 0""",
     "components": f"with recursive {G}, {E}, {CO} select id, qid, component from co",
     "seeds_connected": f"with recursive {REC}, {G}, {E}, {SD}, {CO} select sd.id, count(distinct component) = 1 and count(*) filter (component is null) = 0 connected from sd left join co on co.id = sd.id and co.qid = sd.q group by sd.id",
     "paths_bounded": f"{_PATHS}, {F4} select id, source, goal, len, array_to_string(path, ' ') path, r::int rank from pb where r <= 20",
@@ -337,9 +342,10 @@ select id, qid, 1 depth from d1 union all select id, qid, 2 from d2""",
     "comparison_dump": f"""with {REC}, {G}, {N}, {E}, {NE}, {ADJ}, {SD} select sd.id, sd.q qid, coalesce(string_agg(a.source || '|' || a."type" || '|' || a.target, ' ' order by adj_ord), '') triples
 from sd join rec on rec.id = sd.id and reasoning_type = 'comparison' left join adj a on a.id = sd.id and a.source = sd.q group by sd.id, sd.q""",
     "link_1hop": f"with {REC}, {SD}, {C}, {LP}, {L1} select id, a, b, direction, \"type\" from l1",
-    "link_2hop": f"""with {REC}, {SD}, {C}, {LP}, h as (select distinct lp.id, a, b, x.pid p1, x.target x, y.pid p2 from lp join c x on x.qid = a and x.target <> a and x.target <> b join c y on y.qid = x.target and y.target = b)
-select * from (select *, row_number() over (partition by id, a, b order by p1, x, p2)::int rank from h) where rank <= 3""",
-    "edge_upsert": f"""with {REC}, {SD}, {C}, {LP}, {L1}, {G}, {E}, nw as (select distinct id, case when direction = 0 then a else b end source, "type", case when direction = 0 then b else a end target from l1)
+    "link_2hop": f"with {REC}, {SD}, {C}, {LP}, {L2} select id, a, b, direction, p1, x, p2, rank from l2",
+    "edge_upsert": f"""with {REC}, {SD}, {C}, {LP}, {L1}, {L2}, {G}, {E},
+nw as (select id, case when direction = 0 then a else b end source, "type", case when direction = 0 then b else a end target from l1
+ union select id, case when direction = 0 then a else b end, p1, x from l2 where rank = 1 and id not in (select id from l1) union select id, x, p2, case when direction = 0 then b else a end from l2 where rank = 1 and id not in (select id from l1))
 select * from nw where not exists (select 1 from e where e.id = nw.id and e.source = nw.source and e."type" = nw."type" and e.target = nw.target)""",
     "answer_tiers": f"with {REC}, {G}, {N}, {TR}, {AT} select id, tier, qid, candidates from ans",
     "tier3_candidates": f"with {REC}, {G}, {N}, {TR} select id, qid, node_ord, score, row_number() over (partition by id order by score desc, node_ord)::int rank from tr where id in (select id from tr group by id having min(tier) = 3)",

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..streaming import resume
-from . import graph, kgqa, nested
+from . import graph, io, kgqa, nested, pipeline
 
-_MODULES = [nested, kgqa, graph, resume]
+_MODULES = [nested, kgqa, graph, pipeline, io, resume]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -21,10 +21,13 @@ _local_dir: str | None = None
 
 
 def local_session(cpus: int = 8, app: str = "hopweave", memory: str = "12g") -> SparkSession:
-    """A ``local[cpus]`` session for tests and benchmarks."""
+    """A ``local[cpus]`` session for tests and benchmarks, with a scratch folder of its own that goes with the process."""
+    folder = tempfile.mkdtemp(prefix="hopweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
+        .config("spark.checkpoint.dir", f"file://{folder}")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -46,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return own.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="hopweave-")
@@ -69,17 +72,34 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders of scratch tables of this process, by application.
+_roots: dict[str, tuple[SparkSession, set[str]]] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of the application. Results that read them must have been used or written before."""
+    _, roots = _roots.pop(spark.sparkContext.applicationId, (spark, set()))
+    for root in roots:
+        _delete(spark, root)
+
+
 class Scratch:
     """Numbered scratch tables of one job.
 
     ``cut(df)`` writes ``df`` and returns a scan of what was written; ``drop(path)``
     removes a table that nothing reads any more, so that an iteration holds two
-    rounds on disk at most.
+    rounds on disk at most.  What is left stays until ``drop_scratch``, as results read it.
     """
 
     def __init__(self, spark: SparkSession, job: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/hopweave/{spark.sparkContext.applicationId}/{job}-{uuid.uuid4().hex[:12]}"
+        _roots.setdefault(spark.sparkContext.applicationId, (spark, set()))[1].add(self.root)
         self.made = 0
 
     def write(self, df: DataFrame) -> str:
@@ -92,6 +112,4 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.write(df))
 
     def drop(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(self.spark, path)

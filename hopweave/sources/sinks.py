@@ -18,9 +18,13 @@ def routed(df: DataFrame, route: str, path: str) -> None:
     df.write.mode("overwrite").partitionBy(route).json(path)
 
 
+#: Folders of a keyed sink, whatever the number of keys.
+KEY_FOLDERS = 256
+
+
 def keyed_documents(df: DataFrame, key: str, path: str) -> None:
-    """One folder per key. For exports of few keys; tables keep their keys as a column instead."""
-    df.withColumn("__key", F.col(key)).write.mode("overwrite").partitionBy("__key").json(path)
+    """Documents by ``key``, in folders by its hash: a look-up reads one folder, and millions of keys make no more of them."""
+    df.withColumn("key_hash", F.pmod(F.xxhash64(key), F.lit(KEY_FOLDERS)).cast("int")).repartition("key_hash").write.mode("overwrite").partitionBy("key_hash").json(path)
 
 
 def tsv(df: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import rows
 from ..session import Scratch
 
 
@@ -13,19 +14,29 @@ def stream_parquet(spark: SparkSession, folder: str, glob: str, schema: T.Struct
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def append_new_keys(stream: DataFrame, key: str, out: str, checkpoint: str) -> None:
-    """Append the rows of each micro-batch whose key the output lacks; run until the input is used up.
+#: Parts of the output by key hash; a micro-batch reads those that its keys fall into.
+PARTS = 256
 
-    A repeated batch after a failure writes nothing twice, because its keys are done.
+
+def append_new_keys(stream: DataFrame, key: str, order: list[str], out: str, checkpoint: str) -> None:
+    """Append the first row by ``order`` of each key of a micro-batch that the output lacks; run until the input is used up.
+
+    A repeated batch after a failure writes nothing twice, because its keys are done.  The
+    output is partitioned by the key's hash, so what a batch reads of it does not grow
+    faster than its own keys' parts do.
     """
-    schema = stream.schema
+    columns = stream.columns
+    schema = T.StructType([*stream.schema.fields, T.StructField("__part", T.IntegerType())])
 
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
-        done = spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(out).select(key)
-        df.dropDuplicates([key]).join(done, key, "left_anti").write.mode("append").parquet(out)
+        first = rows.first_rows(df, key, order, [c for c in columns if c != key]).select(*columns)
+        first = first.withColumn("__part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+        touched = [r[0] for r in first.select("__part").distinct().collect()]
+        done = spark.read.schema(schema).parquet(out).where(F.col("__part").isin(touched)).select(key)
+        first.join(done, key, "left_anti").select(*columns, "__part").write.mode("append").partitionBy("__part").parquet(out)
 
-    stream.sparkSession.createDataFrame([], schema).write.mode("append").parquet(out)
+    stream.sparkSession.createDataFrame([], schema).write.mode("append").partitionBy("__part").parquet(out)
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
@@ -34,7 +45,7 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     """Events through the resuming stream: one row per event."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     place = Scratch(spark, "stream").root
-    append_new_keys(stream_parquet(spark, d, "events.parquet", schema), "event_id", f"{place}/out", f"{place}/state")
+    append_new_keys(stream_parquet(spark, d, "events.parquet", schema), "event_id", ["ts"], f"{place}/out", f"{place}/state")
     return spark.read.schema(schema).parquet(f"{place}/out").select("event_id", "user_id", "event_type", F.round("value", 6).alias("value"))
 
 
