@@ -63,7 +63,7 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return defects.defective_replies(_t(spark, d, "prediction"), _t(spark, d, "split_record"))
+    return defects.defective_replies(_t(spark, d, "prediction"), _t(spark, d, "split_record"), _t(spark, d, "documents"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -283,7 +283,58 @@ def test_defective_replies(spark):
     assert [tuple(r) for r in defects.defective_replies(p, s).collect()] == [(1, "empty")]
     assert defects.defective_replies(p.limit(0), s).count() == 0
     assert defects.open_at_end("a (b [c] d") == "(" and defects.open_at_end("```x") == "fence" and defects.open_at_end('"a" (b)') is None
-    assert defects.tiles("a b c x".split(), "z a b c".split()) == [True, True, True, False]
+    assert defects.tiles("a b c x".split(), defects.Automaton("z a b c".split())) == [True, True, True, False]
+
+
+def test_tiles_equal_search():
+    r = random.Random(12)
+    for _ in range(400):
+        q, reply = ([r.choice("abc") for _ in range(r.randint(0, 8))] for _ in range(2))
+        auto = defects.Automaton(q)
+        runs = [max(n for n in range(i + 2) if any(q[k : k + n] == reply[i + 1 - n : i + 1] for k in range(len(q) - n + 1))) if q else 0 for i in range(len(reply))]
+        assert auto.runs(reply) == runs
+        covered = {j for i, n in enumerate(runs) if n >= 2 for j in range(i + 1 - n, i + 1)}
+        got = {i for i, t in enumerate(defects.tiles(reply, auto)) if t}
+        assert got <= covered and (not covered or got)
+
+
+@pytest.mark.parametrize("base", ["the who translated novel ", QUESTION + " ", "word ", "who the ", "(a | * "])
+def test_long_replies_take_linear_time(base):
+    import time
+
+    began = time.process_time()
+    defects.defect((base * 10_000)[:60_000], QUESTION)
+    assert time.process_time() - began < 1.5
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    from hopweave.llm import speech
+
+    return speech.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/split_record.parquet").select("answer").distinct())
+
+
+# Texts of our own, none of which is like the data's.
+OWN = {
+    "other_language": ["A válasz a kérdésre az, hogy a könyvet Tavik Borel írta.", "Vastaus kysymykseen on, että kirjan kirjoitti Tavik Borel.", "Svaret på spørgsmålet er, at bogen blev skrevet af Tavik Borel.", "Răspunsul la întrebare este că romanul a fost scris de Tavik Borel.", "Câu trả lời cho câu hỏi này là người đã dịch cuốn sách.", "Jawaban atas pertanyaan itu adalah orang yang menulis buku tersebut.", "इस प्रश्न का उत्तर यह है कि पुस्तक का अनुवाद उन्होंने किया।", "คำตอบของคำถามนี้คือผู้แปลหนังสือเล่มนี้", "এই প্রশ্নের উত্তর হল যে বইটি তিনি অনুবাদ করেছেন।", "这个问题的答案是那位翻译了这本小说的人。", "저는 이 질문에 대한 답을 알고 있습니다."],
+    "refusal": ["My knowledge doesn't extend to this.", "There's simply no way for me to tell.", "That falls outside what I can speak to.", "I'd have to pass on this one.", "This is beyond my knowledge.", "I have no clue.", "It's hard to say from the material.", "I really wouldn't want to guess here.", "The passage doesn't tell us who translated it.", "I'm not able to share that."],
+    "truncated": ["1. Tavik Borel\n2. Mara Olen\n3.", "| Name | Year |\n| --- | --- |\n| Tavik Borel | 19", "The answer is **Tavik Bor", "- Tavik\n- Mara\n-"],
+    "copies_question": [QUESTION + " " + QUESTION, "Let me repeat: " + QUESTION],
+    None: ["1. Tavik Borel\n2. Mara Olen", "| Name | Year |\n| --- | --- |\n| Tavik Borel | 1901 |", "**Tavik Borel**", "I think it was translated by Tavik Borel.", "It would most likely be Tavik Borel, as he was the only translator mentioned.", "Tavik Borel, probably.", "Nguyễn Thị Minh Khai", "แม่น้ำโขง"],
+}
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="the test tables are not here")
+@pytest.mark.parametrize("kind", list(OWN))
+def test_defects_of_own_texts(trained, kind):
+    right = [defects.defect(t, QUESTION, trained) == kind for t in OWN[kind]]
+    assert sum(right) >= 0.9 * len(right), [t for t, x in zip(OWN[kind], right) if not x]
+
+
+def test_short_questions_are_copied():
+    assert defects.defect("Who wrote Emma?", "Who wrote Emma?") == "copies_question"
+    assert defects.defect("Jane Austen wrote Emma", "Who wrote Emma?") is None
+    assert defects.defect("誰がこの小説を書いたのですか?", "誰がこの小説を書いたのですか?") == "copies_question"
 
 
 # 8: token ids
