@@ -4,11 +4,13 @@ Method: token-level repair, then soft TF-IDF.  Every distinct token of the value
 joined to the reference vocabulary by edit distance: an equi-join of the strings that
 both become by leaving out a few letters, verified by the true distance (swapped
 neighbours count as one edit).  The vocabulary also holds neighbouring words written
-together, and words that occur in several entries may be abbreviated.  Entries all of
-whose words are found in a value are ranked by the share of the value's TF-IDF weight
-that they explain, less for every edit; what a value holds besides the entry (a year,
-"retired", "city of") weighs little where it is common and rules the entry out where
-it is not.
+together, and words that occur in several entries may be abbreviated; numbers are never
+repaired.  A value is compared with the entries whose heavy words it holds: those
+without which no score can reach the least one, so words of many entries pair nothing.
+Soft TF-IDF is the cosine of both texts' word weights, where a repaired token counts by
+its similarity; an entry that a value holds only in part needs nearly all of its weight.
+What a value holds besides the entry (a year, "retired", "city of") weighs little where
+it is common and rules the entry out where it is not.
 
 Values are folded and handled once per distinct form, tokens once per distinct token.
 """
@@ -28,18 +30,19 @@ from .fold import fold
 ONE_EDIT, TWO_EDITS = 3, 6
 #: Longest abbreviation, and the number of entries from which a word is general enough to be abbreviated.
 SHORT, GENERAL = 4, 3
-#: Least score of a match.
-LEAST_SCORE = 0.5
+#: Least score of a match, and of one with an entry that is not held as a whole.
+LEAST_SCORE, LEAST_PARTIAL = 0.45, 0.93
 
 
-def edits_allowed(length: int) -> int:
-    return 0 if length < ONE_EDIT else 1 if length < TWO_EDITS else 2
+def edits_allowed(token: str) -> int:
+    """Edits that are repaired in ``token``; none in what holds a digit."""
+    return 0 if len(token) < ONE_EDIT or any(c.isdigit() for c in token) else 1 if len(token) < TWO_EDITS else 2
 
 
 def shortened(token: str) -> list[str]:
     """``token`` with up to as many letters left out as edits are allowed."""
     found = level = {token}
-    for _ in range(edits_allowed(len(token))):
+    for _ in range(edits_allowed(token)):
         level = {t[:i] + t[i + 1 :] for t in level for i in range(len(t))}
         found = found | level
     return sorted(found)
@@ -80,7 +83,7 @@ def _verify_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for token, term in zip(pdf.token, pdf.term):
             n = edit_distance(token, term)
-            if n <= min(edits_allowed(len(token)), edits_allowed(len(term))):
+            if n <= min(edits_allowed(token), edits_allowed(term)):
                 rows.append((token, term, n))
         yield pd.DataFrame(rows, columns=["token", "term", "edits"])
 
@@ -107,15 +110,31 @@ def repairs(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     """``token, term, edits``: what each distinct ``token`` may stand for."""
     vocabulary = terms.select("term").distinct()
     exact = tokens.join(vocabulary, F.col("token") == F.col("term")).select("token", "term", F.lit(0).alias("edits"))
-    unknown = tokens.join(vocabulary, F.col("token") == F.col("term"), "left_anti")
-    ours = tokens.where(F.length("token") >= ONE_EDIT).mapInPandas(_shorten_batches, "token string, variant string")
+    ours = tokens.select("token").where((F.length("token") >= ONE_EDIT) & ~F.col("token").rlike("[0-9]")).mapInPandas(_shorten_batches, "token string, variant string")
     theirs = vocabulary.withColumnRenamed("term", "token").mapInPandas(_shorten_batches, "token string, variant string").withColumnRenamed("token", "term")
     near = ours.join(theirs, "variant").select("token", "term").distinct().mapInPandas(_verify_batches, "token string, term string, edits int")
     general = terms.where("first = upto").groupBy("term").agg(F.countDistinct("entry").alias("n")).where(f"n >= {GENERAL}").select("term", F.substring("term", 1, 1).alias("initial"))
-    short = unknown.where(F.length("token") <= SHORT).withColumn("initial", F.substring("token", 1, 1)).join(general, "initial").select("token", "term").mapInPandas(_abbreviation_batches, "token string, term string, edits int")
+    short = tokens.where(F.length("token") <= SHORT).withColumn("initial", F.substring("token", 1, 1)).join(general, "initial").select("token", "term").mapInPandas(_abbreviation_batches, "token string, term string, edits int")
+    # A word of the vocabulary abbreviates none.
+    short = short.join(vocabulary, F.col("token") == vocabulary["term"], "left_anti")
     return exact.unionByName(near).unionByName(short).groupBy("token", "term").agg(F.min("edits").alias("edits"))
 
 
+def heavy_terms(terms: DataFrame, weight: DataFrame) -> DataFrame:
+    """``term, ref_id, entry``: the terms of each entry that cover one of its heavy places.
+
+    Places are light as long as all light ones together weigh less than any match needs, so
+    a match covers a heavy one.  ``weight`` has ``term, w``, the squared weight.
+    """
+    placed = terms.join(weight, "term")
+    own = placed.where("first = upto").groupBy("ref_id", "entry").agg(F.array_sort(F.collect_list(F.struct("w", "first"))).alias("places"))
+    total = F.aggregate("places", F.lit(0.0), lambda s, p: s + p["w"])
+    below = lambda i: F.aggregate(F.slice("places", F.lit(1), i + 1), F.lit(0.0), lambda s, p: s + p["w"])
+    heavy = F.transform(F.filter(F.transform("places", lambda p, i: F.struct(p["first"].alias("first"), below(i).alias("sum"))), lambda x: x["sum"] >= LEAST_PARTIAL**2 * total), lambda x: x["first"])
+    found = placed.join(own.select("ref_id", "entry", heavy.alias("heavy")), ["ref_id", "entry"])
+    return found.where(F.exists("heavy", lambda h: (h >= F.col("first")) & (h <= F.col("upto")))).select("term", "ref_id", "entry").distinct()
+
+
 def match_values(values: DataFrame, reference: DataFrame, column: str = "value") -> DataFrame:
     """Distinct ``(value, ref_id, score)`` of the values that denote an entry of ``reference``.
 
@@ -123,34 +142,45 @@ def match_values(values: DataFrame, reference: DataFrame, column: str = "value")
     smallest ``ref_id``.  Null values and values without letters and digits denote none;
     names and aliases that are null are skipped; an empty list matches nothing.
     """
+    scratch = Scratch(values.sparkSession, "values")
     distinct = values.select(F.col(column).alias("value")).where("value is not null").distinct()
-    folded = Scratch(values.sparkSession, "values").cut(distinct.mapInPandas(_fold_batches, "value string, folded string").where("folded <> ''"))
+    folded = scratch.cut(distinct.mapInPandas(_fold_batches, "value string, folded string").where("folded <> ''"))
     forms = folded.select("folded").distinct()
-    placed = forms.select("folded", F.posexplode(F.split("folded", " ")).alias("at", "word")).withColumn("token", F.when(F.col("word").rlike("^[0-9]+$"), F.lit("0")).otherwise(F.col("word")))
-    often = placed.groupBy("token").agg(F.count("*").alias("df"))
-    terms = reference_terms(reference)
-    fixed = repairs(often.select("token"), terms)
-    of_term = fixed.join(often, "token").groupBy("term").agg(F.sum(F.when(F.col("edits") == 0, F.col("df")).otherwise(0)).alias("known"))
+    placed = forms.select("folded", F.posexplode(F.split("folded", " ")).alias("at", "token"))
+    tokens = scratch.cut(placed.groupBy("token").agg(F.count("*").alias("df")))
+    terms = scratch.cut(reference_terms(reference))
+    fixed = scratch.cut(repairs(tokens, terms))
+    n = float(folded.select("folded").distinct().count() + 1)
+    weight = lambda df: F.pow(F.log(F.lit(n) / F.greatest(df, F.lit(1))), 2)
+    # A repaired token weighs as much as the word that it stands for; all numbers that no entry holds weigh as one word.
+    known = terms.select("term").distinct().join(tokens, F.col("term") == F.col("token"), "left").select("term", weight(F.coalesce("df", F.lit(1))).alias("w"))
+    number = F.col("token").rlike("^[0-9]+$") & F.col("term").isNull()
+    own = tokens.join(terms.select("term").distinct(), F.col("token") == F.col("term"), "left").withColumn("kind", F.when(number, F.lit("0")).otherwise(F.col("token")))
+    kinds = own.groupBy("kind").agg(F.sum("df").alias("all"))
+    own = own.join(kinds, "kind").select("token", weight(F.col("all")).alias("w"))
+    weights = placed.join(own, "token").groupBy("folded").agg(F.collect_list(F.struct("at", "w")).alias("all"))
+    read = scratch.cut(placed.join(fixed, "token").select("folded", "at", "term", "edits"))
+    near = read.join(heavy_terms(terms, known), "term").select("folded", "ref_id", "entry").distinct()
     # A short word alone is too easily another one.
-    hits = placed.join(fixed, "token").join(terms, "term").where(f"edits = 0 or words > 1 or length(term) > {ONE_EDIT}")
-    weights = placed.join(often, "token").groupBy("folded").agg(F.collect_list(F.struct("at", "df")).alias("all"))
-    forms_count = forms.count()
-    idf = lambda df: F.log(F.lit(float(forms_count + 1)) / F.greatest(df, F.lit(1)))
-    # Each place of the entry takes its cheapest token; a repaired token weighs as much as the word that it stands for.
-    cheapest = hits.join(of_term, "term").groupBy("folded", "ref_id", "entry", "words").agg(F.collect_list(F.struct("edits", "at", "first", "upto", "known")).alias("found"))
-    places = F.sequence(F.lit(0), F.col("words") - 1)
-    best = F.transform(places, lambda p: F.array_min(F.filter("found", lambda x: (x["first"] <= p) & (x["upto"] >= p))))
-    full = cheapest.withColumn("best", best).where(F.forall("best", lambda b: b.isNotNull())).withColumn("used", F.array_distinct("best"))
-    scored = full.join(weights, "folded").withColumns(
+    hits = read.join(near, "folded").join(terms, ["term", "ref_id", "entry"]).where(f"edits = 0 or words > 1 or length(term) > {ONE_EDIT}").join(known, "term")
+    found = hits.groupBy("folded", "ref_id", "entry", "words").agg(F.collect_list(F.struct("edits", "at", "first", "upto", "w", (1 - F.col("edits") / F.length("term")).alias("alike"))).alias("found"))
+    # Each place of the entry takes its cheapest token.
+    best = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda p: F.array_min(F.filter("found", lambda x: (x["first"] <= p) & (x["upto"] >= p))))
+    bare = terms.where("first = upto").join(known, "term").groupBy("ref_id", "entry").agg(F.array_sort(F.collect_list(F.struct("first", "w"))).alias("places"))
+    full = found.withColumn("best", best).withColumn("used", F.array_compact(F.array_distinct("best"))).join(bare, ["ref_id", "entry"]).join(weights, "folded")
+    missing = F.filter("places", lambda x: F.get("best", x["first"]).isNull())
+    scored = full.withColumns(
         {
-            "edits": F.aggregate("used", F.lit(0), lambda s, b: s + b["edits"]),
-            "inside": F.aggregate("used", F.lit(0.0), lambda s, b: s + F.pow(idf(b["known"]), 2)),
-            "outside": F.aggregate(F.filter("all", lambda t: ~F.exists("used", lambda b: b["at"] == t["at"])), F.lit(0.0), lambda s, t: s + F.pow(idf(t["df"]), 2)),
+            "shared": F.aggregate("used", F.lit(0.0), lambda s, b: s + b["alike"] * b["w"]),
+            "inside": F.aggregate("used", F.lit(0.0), lambda s, b: s + b["w"]),
+            "lacks": F.aggregate(missing, F.lit(0.0), lambda s, x: s + x["w"]),
+            "outside": F.aggregate(F.filter("all", lambda t: ~F.exists("used", lambda b: b["at"] == t["at"])), F.lit(0.0), lambda s, t: s + t["w"]),
+            "whole": F.size(missing) == 0,
         }
     )
-    explained = F.sqrt(F.col("inside") / F.greatest(F.col("inside") + F.col("outside"), F.lit(1e-9)))
-    scored = scored.withColumn("score", explained * (1 - F.col("edits") / F.greatest(F.length("entry"), F.lit(1)))).where(f"score >= {LEAST_SCORE}")
-    first = scored.groupBy("folded").agg(F.min(F.struct((-F.col("score")).alias("s"), "ref_id")).alias("m"))
+    score = F.col("shared") / F.greatest(F.sqrt((F.col("inside") + F.col("lacks")) * (F.col("inside") + F.col("outside"))), F.lit(1e-9))
+    scored = scored.withColumn("score", score).where(F.col("score") >= F.when(F.col("whole"), LEAST_SCORE).otherwise(LEAST_PARTIAL))
+    first = scored.groupBy("folded").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "ref_id")).alias("m"))
     return folded.join(first, "folded").select("value", F.col("m.ref_id").alias("ref_id"), (-F.col("m.s")).alias("score"))
 
 

@@ -178,9 +178,33 @@ def test_canonical(spark):
     assert got == {v: k for v, k in values.items() if k}
     assert canonical.match_values(df.limit(0), ref).count() == 0
     assert canonical.match_values(df, ref.limit(0)).count() == 0
+    numbers = spark.createDataFrame([(5, "Flight 93", None), (6, "Flight 12", None), (7, "Studio 54", None)], "ref_id bigint, name string, aliases array<string>")
+    texts = ["Flight 12", "flight 93", "Flight 13", "Studio 99", "Studio", "Studio 54", "Sutdio 54"]
+    got = {r.value: r.ref_id for r in canonical.match_values(spark.createDataFrame([(v,) for v in texts], "value string"), numbers).collect()}
+    assert got == {"Flight 12": 6, "flight 93": 5, "Studio 54": 7, "Sutdio 54": 7}
     assert canonical.edit_distance("abcd", "abdc") == 1 and canonical.edit_distance("", "ab") == 2
 
 
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="the test tables are not here")
+def test_held_out_misspellings(spark):
+    r = random.Random(11)
+    ref = spark.read.parquet("/root/testdata/sf0.01/ref_item.parquet")
+    want = {}
+    for x in ref.collect():
+        word = fold.fold(x.name)
+        at = [i for i in range(1, len(word) - 2) if word[i] != " " and word[i + 1] != " " and word[i] != word[i + 1] and not (word[i] + word[i + 1]).isdigit()]
+        words = [w for w in word.split() if len(w) > 5]
+        if not words or not at:
+            continue
+        w = r.choice(words)
+        i = r.randrange(1, len(w) - 2)
+        want[r.choice([word.replace(w, w[:i] + w[i + 1] + w[i] + w[i + 2 :], 1), word.replace(w, w[:i] + w[i + 1 :], 1), word.replace(w, w[:i] + "x" + w[i:], 1).upper()])] = x.ref_id
+    nodes = spark.read.parquet("/root/testdata/sf0.01/graph_node.parquet").select("description").limit(2000)
+    values = spark.createDataFrame([(v,) for v in want], "value string").unionByName(nodes.withColumnRenamed("description", "value"))
+    got = {x.value: x.ref_id for x in canonical.match_values(values, ref).collect()}
+    assert sum(got.get(v) == k for v, k in want.items()) >= 0.98 * len(want)
+
+
 # 5: groups and splits
 def test_groups_and_splits(spark):
     r = random.Random(6)
