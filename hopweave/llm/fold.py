@@ -42,10 +42,12 @@ def invisible() -> tuple[str, ...]:
 def stand_ins() -> dict[str, tuple[str, str]]:
     """Character to (kind, ordinary text): the forms that are no ordinary ones wherever they stand.
 
-    Kinds: ``invisible``, ``blank``, ``hyphen``, ``width``, ``font``, ``ligature``.
+    Kinds: ``invisible``, ``blank``, ``hyphen``, ``width``, ``font``, ``ligature``, and
+    ``canonical`` for second code points of one and the same character (Kelvin and Angstrom
+    signs, compatibility ideographs).
     """
     out = {c: ("invisible", "") for c in invisible()}
-    for i in range(0x80, 0x20000):
+    for i in (*range(0x80, 0x20000), *range(0x2F800, 0x2FA20)):
         c = chr(i)
         how = unicodedata.decomposition(c)
         if unicodedata.category(c) == "Zs":
@@ -58,6 +60,8 @@ def stand_ins() -> dict[str, tuple[str, str]]:
             out[c] = ("font", unicodedata.normalize("NFKC", c))
         elif how.startswith("<compat>") and 0xFB00 <= i <= 0xFB06:
             out[c] = ("ligature", unicodedata.normalize("NFKC", c))
+        elif how and not how.startswith("<") and unicodedata.normalize("NFC", c) != c:
+            out[c] = ("canonical", unicodedata.normalize("NFC", c))
     return out
 
 
@@ -74,6 +78,31 @@ def compositions() -> dict[str, str]:
     return out
 
 
+@lru_cache(None)
+def pairs() -> dict[str, str]:
+    """Two characters to the one that they compose to; Hangul follows an arithmetic rule and is not listed."""
+    out = {}
+    for i in range(0xC0, 0x20000):
+        c = chr(i)
+        how = unicodedata.decomposition(c)
+        if how and not how.startswith("<") and " " in how and not 0xAC00 <= i <= 0xD7A3 and unicodedata.normalize("NFC", c) == c:
+            out["".join(chr(int(x, 16)) for x in how.split())] = c
+    return out
+
+
+#: Hangul: the first syllable, leading consonants, vowels and trailing consonants, and how many of each there are.
+HANGUL = {"syllable": 0xAC00, "lead": 0x1100, "vowel": 0x1161, "trail": 0x11A7}
+LEADS, VOWELS, TRAILS = 19, 21, 28
+
+
+@lru_cache(None)
+def joiners() -> tuple[str, ...]:
+    """Characters without a combining class that may compose with the one before: second halves of vowels, jamo."""
+    seconds = {p[1] for p in pairs() if not unicodedata.combining(p[1])}
+    jamo = {chr(HANGUL["vowel"] + i) for i in range(VOWELS)} | {chr(HANGUL["trail"] + i) for i in range(1, TRAILS)}
+    return tuple(sorted(seconds | jamo))
+
+
 def letters() -> dict[str, tuple[str, str]]:
     """Look-alike letter to (script, Latin letter)."""
     return {c: (script, latin) for script, table in LOOKALIKE.items() for c, latin in table.items()}

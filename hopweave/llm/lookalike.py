@@ -16,7 +16,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .fold import SCRIPTS, compositions, letters, stand_ins
+from .fold import HANGUL, LEADS, SCRIPTS, TRAILS, VOWELS, compositions, joiners, letters, pairs, stand_ins
 
 #: Texts without any other character than these are in the consistent form already.
 _ORDINARY = "\\x00-\\x7f¡-¬®-ʯ–—‘’‚“”„…‹›€™、。「」『』ぁ-ヿ一-鿿"
@@ -49,8 +49,8 @@ def mapping_table(spark: SparkSession) -> DataFrame:
 
 
 def mark_table(spark: SparkSession) -> DataFrame:
-    """``mark, mark_class``: combining marks with their canonical class."""
-    found = [(chr(i), unicodedata.combining(chr(i))) for i in range(0x300, 0x20000) if unicodedata.combining(chr(i))]
+    """``mark, mark_class``: combining marks with their canonical class; 0 for what composes with a base right before it."""
+    found = [(chr(i), unicodedata.combining(chr(i))) for i in range(0x300, 0x20000) if unicodedata.combining(chr(i))] + [(c, 0) for c in joiners()]
     assert len(found) <= MAX_MAPPING_ROWS
     return spark.createDataFrame(found, "mark string, mark_class int")
 
@@ -62,6 +62,37 @@ def composition_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(found, "apart string, whole string")
 
 
+def _composite(a: Column, b: Column) -> Column:
+    """The character that two compose to, or null."""
+    code, lead, vowel, trail = F.ascii(a), F.ascii(b) - HANGUL["vowel"], F.ascii(b) - HANGUL["trail"], F.ascii(a) - HANGUL["lead"]
+    syllable = code - HANGUL["syllable"]
+    chars = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+    first = trail.between(0, LEADS - 1) & lead.between(0, VOWELS - 1)
+    last = syllable.between(0, LEADS * VOWELS * TRAILS - 1) & (syllable % TRAILS == 0) & vowel.between(1, TRAILS - 1)
+    listed = F.element_at(F.create_map(*(F.lit(x) for kv in pairs().items() for x in kv)), F.concat(a, b))
+    return F.when(first, chars(HANGUL["syllable"] + (trail * VOWELS + lead) * TRAILS)).when(last, chars(code + vowel)).otherwise(listed)
+
+
+def composed(parts: Column) -> Column:
+    """Canonical composition of an array of ``(k, pos, sub, c)``, a base with its marks in canonical order.
+
+    A mark joins the base unless one before it of no smaller class stayed apart.
+    """
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("base"), F.lit("").alias("tail"), F.lit(0).alias("last"))
+
+    def step(s: Column, x: Column) -> Column:
+        both = F.when((s["base"] != "") & ((s["tail"] == "") | (s["last"] < x["k"])), _composite(s["base"], x["c"]))
+        apart = (s["base"] == "") | ((x["k"] == 0) & both.isNull())
+        return F.struct(
+            F.when(both.isNull() & apart, F.concat(s["done"], s["base"], s["tail"])).otherwise(s["done"]).alias("done"),
+            F.when(both.isNotNull(), both).when(apart, x["c"]).otherwise(s["base"]).alias("base"),
+            F.when(both.isNotNull(), s["tail"]).when(apart, F.lit("")).otherwise(F.concat(s["tail"], x["c"])).alias("tail"),
+            F.when(both.isNotNull(), s["last"]).when(apart, F.lit(0)).otherwise(x["k"]).alias("last"),
+        )
+
+    return F.aggregate(parts, start, step, lambda s: F.concat(s["done"], s["base"], s["tail"]))
+
+
 def _chars(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0))
 
@@ -116,23 +147,26 @@ def consistent_forms(texts: DataFrame, text: str) -> DataFrame:
     plain = judged.select(
         *key,
         "pos",
+        "ch",
         F.when(swapped, F.col("latin")).otherwise(F.coalesce("to", "ch")).alias("to"),
-        (swapped | F.col("kind").isin("invisible", "blank", "hyphen", "width", "font", "ligature")).alias("stand_in"),
-    )
-    parts = plain.select(*key, "pos", "stand_in", F.posexplode_outer(_chars(F.col("to"))).alias("sub", "c")).join(F.broadcast(mark_table(spark)), F.col("c") == F.col("mark"), "left")
-    clusters = parts.withColumn("cluster", F.sum(F.when(F.col("mark_class").isNull() & F.col("c").isNotNull(), 1).otherwise(0)).over(Window.partitionBy(*key).orderBy("pos", "sub")))
-    built = clusters.groupBy(*key, "cluster").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("c").isNotNull(), F.struct(F.coalesce("mark_class", F.lit(0)).alias("k"), "pos", "sub", "c")))), lambda x: x["c"]), "").alias("apart"),
-        F.coalesce(F.max("stand_in"), F.lit(False)).alias("stand_in"),
-        F.countDistinct(F.when(F.col("c").isNotNull(), F.col("pos"))).alias("pieces"),
+        (swapped | F.col("kind").isin("invisible", "blank", "hyphen", "width", "font", "ligature", "canonical")).alias("stand_in"),
     )
-    table = composition_table(spark)
-    whole = built.join(F.broadcast(table), "apart", "left").withColumn("two", F.when(F.col("whole").isNull() & (F.length("apart") > 2), F.substring("apart", 1, 2)))
-    whole = whole.join(F.broadcast(table.select(F.col("apart").alias("two"), F.col("whole").alias("first"))), "two", "left")
-    joined = F.coalesce(F.col("whole"), F.concat("first", F.expr("substr(apart, 3)")), F.col("apart"))
-    composed = (F.col("pieces") > 1) & F.coalesce("whole", "first").isNotNull()
+    parts = plain.select(*key, "pos", "ch", "stand_in", F.posexplode_outer(_chars(F.col("to"))).alias("sub", "c")).join(F.broadcast(mark_table(spark)), F.col("c") == F.col("mark"), "left")
+    by_part = Window.partitionBy(*key).orderBy("pos", "sub")
+    # What composes without being a mark does so only right behind a base or another such character.
+    parts = parts.where("c is not null or sub is null").withColumn("before", F.lag(F.coalesce("mark_class", F.lit(0))).over(by_part))
+    begins = F.col("c").isNotNull() & (F.col("mark_class").isNull() | ((F.col("mark_class") == 0) & (F.coalesce("before", F.lit(1)) != 0)))
+    clusters = parts.withColumn("cluster", F.sum(begins.cast("int")).over(by_part))
+    found = F.when(F.col("c").isNotNull(), F.struct(F.coalesce("mark_class", F.lit(0)).alias("k"), "pos", "sub", "c"))
+    built = clusters.groupBy(*key, "cluster").agg(F.array_sort(F.collect_list(found)).alias("parts"), F.coalesce(F.max("stand_in"), F.lit(False)).alias("stand_in"), F.array_sort(F.collect_set(F.when(F.col("c").isNotNull(), F.struct("pos", F.col("ch").alias("c"))))).alias("written"))
+    together = lambda col: F.array_join(F.transform(col, lambda x: x["c"]), "")
+    built = built.withColumns({"apart": together("parts"), "was": together("written")})
+    whole = built.join(F.broadcast(composition_table(spark)), "apart", "left")
+    # Most clusters are one character or compose as a whole; only others go through the marks one by one.
+    joined = F.when(F.size("parts") < 2, F.col("apart")).otherwise(F.coalesce("whole", composed(F.col("parts"))))
+    moved = (F.size("written") > 1) & (joined != F.col("was"))
     rebuilt = (
-        whole.select(*key, "cluster", joined.alias("s"), (F.col("stand_in") | composed).alias("stand_in"))
+        whole.select(*key, "cluster", joined.alias("s"), (F.col("stand_in") | moved).alias("stand_in"))
         .groupBy(*key)
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cluster", "s"))), lambda x: x["s"]), "").alias("form"), F.max("stand_in").alias("stands_in"))
     )

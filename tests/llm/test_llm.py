@@ -169,6 +169,21 @@ def test_forms_equal_plain(spark):
     assert lookalike.canonical_text(spark.createDataFrame([], "v string"), "v").count() == 0
 
 
+def test_forms_are_composed_canonically(spark):
+    r = random.Random(14)
+    marks = [c for c in map(chr, range(0x300, 0x370)) if unicodedata.combining(c)] + list("\u093c\u09be\u09d7\u0cd5\u0dcf\u0dca\u3099\u05bc")
+    bases = list("aoeucnsASZ") + list("áộḉǖ") + list("\u0915\u09c7\u0cc6\u0dd9\u304b\u05d0") + ["\u1112\u1161\u11ab", "\u1100\u116e", "\uac00", "\u11a8", "\u1161", "한"]
+    texts = ["".join(r.choice(bases) + "".join(r.choice(marks) for _ in range(r.choice((0, 0, 1, 1, 2, 3)))) for _ in range(r.randint(1, 6))) for _ in range(600)]
+    texts += ["\u1112\u1161\u11ab\u1100\u116e\u11a8", "a\u0327\u0301", "\u00e1\u0327", "o\u0302\u0323\u0301", "\u212a\u212b\u2126", "\uf900"]
+    dropped = str.maketrans({c: to for c, (_, to) in fold.stand_ins().items()})
+    got = {g.v: g for g in lookalike.canonical_text(spark.createDataFrame([(t,) for t in set(texts)], "v string"), "v").collect()}
+    wrong = [t for t in texts if got[t].form != unicodedata.normalize("NFC", t.translate(dropped))]
+    assert not wrong, [(t.encode("unicode_escape"), got[t].form.encode("unicode_escape")) for t in wrong[:5]]
+    # An accented letter with a cedilla behind it is composed already.
+    assert [got[t].stands_in for t in texts[-6:]] == [True, True, False, True, True, True]
+    assert all(got[t].stands_in or unicodedata.is_normalized("NFC", t.translate(dropped)) for t in texts)
+
+
 # 4: canonical values
 def test_canonical(spark):
     ref = spark.createDataFrame([(1, "Saint Velildørf", ["Orvodorf"]), (2, "sea shanty", None), (3, "novelist", []), (4, "Saint Marna", []), (5, "Saint Olba", []), (None, "ghost", []), (6, None, ["goldsmith"])], "ref_id bigint, name string, aliases array<string>")
