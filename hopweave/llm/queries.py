@@ -18,6 +18,11 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.overlap_report(_t(spark, d, "split_record"))
 
 
+def p1_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluation records that training texts repeat, with the share of the text that the best one covers."""
+    return leakage.overlap_coverage(_t(spark, d, "split_record")).where("not train").select("id", "covered")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return sampling.short_categories(_t(spark, d, "split_record"), _t(spark, d, "sample_target"))
 
@@ -89,7 +94,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p5_report, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
+    for f in (p1_found, p1_report, p1_coverage, p2_found, p2_sample, p2_report, p3_found, p3_forms, p4_found, p4_unmatched, p5_found, p5_splits, p5_report, p6_found, p8_ids, p9_mix, p9_report, p10_found, p10_restored)
 }
 
 ORACLES: dict[str, str] = {

@@ -52,16 +52,54 @@ def test_overlaps_in_hot_answers_equal_brute_force(spark, monkeypatch):
             k = r.randrange(len(text) - 1)
             text = text[:k] + text[k + 1] + text[k] + text[k + 2 :]
         rows.append((f"r{i:03}", text, "Q1", [f"E{names.index(n)}"], r.choice(["train", "dev"]), "s"))
-    got = {tuple(x) for x in leakage.cross_split_pairs(spark.createDataFrame(rows, REC)).collect()}
-    want = set()
+    # Several entities, none at all, equal texts and a record delivered twice, all with the hot answer.
+    rows = [(i, q, a, [] if k % 9 == 0 else [*e, "E-hot", *(["E-more"] if k % 4 == 0 else [])], sp, so) for k, (i, q, a, e, sp, so) in enumerate(rows)]
+    rows += [(f"s{i}", rows[i][1], "Q1", rows[i][3], "dev" if rows[i][4] == "train" else "train", "s") for i in range(0, 60, 3)] + rows[:5] + [(rows[7][0], rows[7][1], "Q1", rows[7][3], "train" if rows[7][4] == "dev" else "dev", "t")]
+    df = spark.createDataFrame(rows, REC)
+    found = leakage.cross_split_overlaps(df).collect()
+    got = {(x.eval_id, x.train_id) for x in found}
+    want = {}
     for a in rows:
         for b in rows:
-            if a[4] == "train" and b[4] != "train" and a[3] == b[3]:
+            if a[4] == "train" and b[4] != "train" and a[0] != b[0] and (set(a[3]) <= set(b[3]) or set(b[3]) <= set(a[3])):
                 x, y = fold.fold(b[1]), fold.fold(a[1])
-                shared = leakage._passages(x) & leakage._passages(y)
-                if len(shared) >= leakage.SHARED * len(leakage._passages(x)) and leakage.alike(x, y, False, *leakage.coverage(x, y, shared)):
-                    want.add((min(a[0], b[0]), max(a[0], b[0])))
-    assert got == want and len(want) > 50
+                of = leakage.coverage(x, y, leakage._passages(x) & leakage._passages(y))
+                if leakage.alike(x, y, not a[3] or not b[3], *of):
+                    want[b[0], a[0]] = max(of[0], want.get((b[0], a[0]), 0))
+    assert got == set(want) and len(want) > 50
+    members = {(x.id, x.train): x.covered for x in leakage.overlap_coverage(df).collect()}
+    assert {k for k, t in members if t} == {t for _, t in want}
+    assert {k: v for (k, t), v in members.items() if not t} == {e: max(v for (x, _), v in want.items() if x == e) for e, _ in want}
+
+
+def test_overlaps_of_edited_texts(spark):
+    """Recall and precision against edits that the operator knows nothing of."""
+    r = random.Random(21)
+    words = ["".join(r.choice("abcdefghiklmnoprstuvw") for _ in range(r.randint(3, 9))) for _ in range(400)]
+    rows, edited = [], set()
+    for i in range(300):
+        text = " ".join(r.choice(words) for _ in range(14)) + "?"
+        rows.append((f"t{i}", text, f"Q{i % 7}", [f"E{i}"], "train", "s"))
+        kind = i % 6
+        if kind == 0:
+            other = "Please tell me: " + text
+        elif kind == 1:
+            other = text.upper().replace("?", " ?!")
+        elif kind == 2:
+            k = r.randrange(5, len(text) - 5)
+            other = text[:k] + text[k + 1 :]
+        elif kind == 3:
+            other = text.replace("o", "о").replace(" ", "\u00a0")
+        elif kind == 4:
+            w = text[:-1].split()
+            other = " ".join([*w[:5], w[6], w[5], *w[7:]])
+        else:
+            other = " ".join(r.choice(words) for _ in range(14)) + "?"
+        rows.append((f"e{i}", other, f"Q{i % 7}", [f"E{i}"], "dev", "s"))
+        if kind < 5:
+            edited.add((f"e{i}", f"t{i}"))
+    got = {(x.eval_id, x.train_id) for x in leakage.cross_split_overlaps(spark.createDataFrame(rows, REC)).collect()}
+    assert len(got & edited) >= 0.97 * len(edited) and not got - edited
 
 
 def test_overlap_in_many_short_matches():
