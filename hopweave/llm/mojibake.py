@@ -2,9 +2,10 @@
 
 Method: a smoothed character trigram model is trained on the clean records of the
 corpus itself; every chain "bytes of encoding A read as encoding B" is undone on the
-runs of text where it can be, and scored against the original; the likeliest chain is
-accepted beyond a margin, which is validated on clean records (must stay) and on clean
-records garbled on purpose (must come back).
+runs of text where it can be, and scored against the original; the likeliest chain of a
+record is accepted beyond a margin, which is validated when the model is fitted: clean
+records must stay.  Where a chain is accepted, the record's other runs are undone by it
+as well, unless they are likelier as they are than the chain is common in the record.
 
 The model is a set of hashed count tables of fixed size, so what the driver holds and
 broadcasts does not grow with the corpus; counts cover all clean records.
@@ -38,8 +39,11 @@ BUCKETS = (1 << 15, 1 << 17, 1 << 18)
 #: Weights of the trigram, bigram and single-character estimates; the rest is spread evenly.
 W3, W2, W1 = 0.55, 0.3, 0.149
 FLOOR = 0.001 / 70_000
-#: Natural-log likelihood that a chain must gain in a run and in a whole record; UTF-8 is rarely valid by chance, so less is asked there. Validated; see the tests.
+#: Natural-log likelihood that a chain must gain in a run, and the least that it must gain in a whole record; UTF-8 is rarely valid by chance, so less is asked there.
 RUN_MARGIN, RUN_MARGIN_UTF8, RECORD_MARGIN, RECORD_MARGIN_UTF8 = 4.0, 2.0, 8.5, 5.0
+#: Factors of the record margins of which the first is taken that leaves no more than ``FALSE`` of the clean records
+#: changed; a bounded sample of ``VALIDATION`` records tells, if it has ``LEAST_CLEAN`` clean ones. What gains more than the last factor asks is garbled, not clean.
+FACTORS, FALSE, VALIDATION, LEAST_CLEAN = (1.0, 1.3, 1.7, 2.2, 3.0, 5.0), 0.003, 2000, 200
 #: Natural-log likelihood per character, below which a run is ordinary text and stays (the second: where no two upper characters meet), and that a run may be restored to (the second: from UTF-8).
 USUAL, USUAL_SINGLE, RESTORED, RESTORED_UTF8 = 2.2, 2.6, 2.8, 4.0
 #: What a character costs that does not fit into a chain.
@@ -51,6 +55,12 @@ _PAIR, _UPPER = regex.compile(r"[^\x00-\x7f]{2}"), regex.compile(r"[^\x00-\x7f]"
 #: Encodings whose letters take, or whose words have, several bytes of the upper half.
 _WIDE = frozenset(("shift_jis", "euc_jp", "gb18030", "big5", "euc_kr"))
 _LONG = _WIDE | {"utf-8", "cp1251", "koi8-r", "cp866", "mac_cyrillic", "cp1253", "iso8859-7"}
+#: Four-byte characters of GB 18030 hold ASCII digits.
+_GB_FOUR = regex.compile(rb"[\x81-\xfe][0-9][\x81-\xfe][0-9]")
+#: By what text was read as: the chains with their numbers.
+BY_READING: dict[str, list[tuple[int, str]]] = {}
+for _n, (_right, _wrong) in enumerate(CHAINS):
+    BY_READING.setdefault(_wrong, []).append((_n, _right))
 _GAP = regex.compile(r"[ \t\r\n]+")
 #: ASCII punctuation around a run is no part of it.
 _RIM = ".,;:!?()\"'"
@@ -62,6 +72,10 @@ _ORDINARY = regex.compile(r"[\x00-\x7f\xa0-ſ‐-›€™−Α-ώЀ-џ、-ヿ
 _UTF8 = regex.compile(rb"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 
 
+def _runs(text: str) -> set[str]:
+    return {r.strip(_RIM) for r in _RUN.findall(text)}
+
+
 @lru_cache(None)
 def byte_table(codec: str) -> dict[int, int]:
     """Code point to byte, for the upper half of a one-byte encoding; bytes without a character pass as control characters."""
@@ -146,22 +160,35 @@ def _points(text: str) -> np.ndarray:
 
 
 class Model:
-    """Hashed trigram counts with smoothed scores."""
+    """Hashed trigram counts with smoothed scores; ``factor`` widens the record margins."""
 
-    def __init__(self, one: np.ndarray, two: np.ndarray, three: np.ndarray):
-        self.one, self.two, self.three = one, two, three
+    def __init__(self, one: np.ndarray, two: np.ndarray, three: np.ndarray, factor: float = FACTORS[0]):
+        self.one, self.two, self.three, self.factor = one, two, three, factor
         self.total = max(1.0, float(one.sum()))
         self._alone = W1 * one / self.total + FLOOR
-        self._blank = grams(np.array([32, 32, 32], dtype=np.uint32))[:2]
-        self.score = lru_cache(100_000)(self._likelihood)
 
-    def _likelihood(self, text: str) -> float:
-        i1, i2, i3 = grams(_points(text))
+    def score(self, text: str) -> float:
+        return float(self.scores([text])[0])
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """The natural-log likelihood of each text, all in one pass."""
+        if not texts:
+            return np.zeros(0)
+        pieces = [f"  {_GAP.sub('  ', t)} " for t in texts]
+        ends = np.cumsum([len(p) for p in pieces])
+        p = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32).copy()
+        p[(p >= 48) & (p <= 57)] = 48
+        i1, i2, i3 = grams(p)
         # The contexts of a character are the bucket of the one before and of the pair before.
-        c1, c2 = np.concatenate((self._blank[0], i1[:-1])), np.concatenate((self._blank[1], i2[:-1]))
-        two = self.two
-        chance = W3 * self.three[i3] / np.maximum(two[c2], 1) + W2 * two[i2] / np.maximum(self.one[c1], 1) + self._alone[i1]
-        return float(np.log(np.minimum(chance, 1.0)).sum())
+        c1, c2 = np.roll(i1, 1), np.roll(i2, 1)
+        blank = grams(np.array([32, 32, 32], dtype=np.uint32))
+        c1[0], c2[0] = blank[0][0], blank[1][0]
+        starts = np.concatenate(([0], ends[:-1]))
+        # Before the first character of a text are two blanks, whatever the text before it ends with.
+        c1[starts[1:]], c2[starts[1:]] = blank[0][0], blank[1][0]
+        chance = W3 * self.three[i3] / np.maximum(self.two[c2], 1) + W2 * self.two[i2] / np.maximum(self.one[c1], 1) + self._alone[i1]
+        sums = np.concatenate(([0.0], np.cumsum(np.log(np.minimum(chance, 1.0), dtype=np.float64))))
+        return sums[ends - 2] - sums[starts]
 
 
 def suspicious(text: str) -> bool:
@@ -210,8 +237,10 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(documents: DataFrame, text: str = "text") -> Model:
-    """The model over all clean records. Each task sends one bounded table; the driver gets at most ``sum(BUCKETS)`` rows."""
-    counted = documents.where(F.col(text).isNotNull()).select(text).mapInPandas(_count_batches, "n int, bucket int, count bigint")
+    """The model over all clean records. Each task sends one bounded table; the driver gets at most ``sum(BUCKETS)`` rows
+    and, to validate the margins, ``VALIDATION`` records."""
+    texts = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    counted = texts.mapInPandas(_count_batches, "n int, bucket int, count bigint")
     rows = counted.groupBy("n", "bucket").agg(F.sum("count").alias("count")).toPandas()
     tables = []
     for n, size in enumerate(BUCKETS):
@@ -219,70 +248,168 @@ def train(documents: DataFrame, text: str = "text") -> Model:
         own = rows[rows["n"] == n]
         t[own["bucket"].to_numpy()] = own["count"].to_numpy()
         tables.append(t)
-    return Model(*tables)
+    model = Model(*tables)
+    some = texts.where(F.col("text").rlike("[^\\x00-\\x7f]")).orderBy(F.xxhash64("text"), "text").limit(VALIDATION).toPandas()
+    model.factor = validated(model, [t for t in some["text"] if not suspicious(t)])
+    return model
+
+
+def validated(model: Model, clean: list[str]) -> float:
+    """The factor of the record margins that leaves clean records as they are."""
+    if len(clean) < LEAST_CLEAN:
+        return FACTORS[0]
+    gains = Restorer(model).gains(clean)
+    over = [sum(g >= f for g in gains) for f in FACTORS]
+    return next((f for f, n in zip(FACTORS, over) if n - over[-1] <= FALSE * len(clean)), FACTORS[-1])
+
+
+@lru_cache(None)
+def _upper(codec: str) -> frozenset[str]:
+    return frozenset(map(chr, byte_table(codec)))
 
 
 class Restorer:
     """Undoes chains in texts as far as the model finds it likelier."""
 
+    #: Runs whose chains are remembered.
+    REMEMBERED = 200_000
+
     def __init__(self, model: Model):
         self.model = model
-        self.ways = lru_cache(100_000)(self._ways)
-
-    def _ways(self, run: str) -> tuple[tuple[int, float, str], ...]:
-        """Chains that make the run likelier, with the gain and the restored run."""
-        now = self.model.score(run)
-        pair = _PAIR.search(run) is not None
-        if -now < (USUAL if pair else USUAL_SINGLE) * (len(run) + 1):
-            return ()
-        upper = {ord(c) for c in run if c > "\x7f"}
-        read_as = {wrong for wrong in READ_AS if not upper.isdisjoint(byte_table(wrong))}
-        many = len(_UPPER.findall(run)) > 2
-        out = []
-        for n, (right, wrong) in enumerate(CHAINS):
-            if wrong not in read_as or (right in _LONG and not pair) or (right in _WIDE and not many):
+        self.known: dict[str, tuple[tuple[int, float], ...]] = {}
+
+    def _attempts(self, run: str) -> dict[str, tuple[int, list[int]]]:
+        """What the run may have been: text to the characters that did not fit and the chains that lead to it."""
+        upper = {c for c in run if c > "\x7f"}
+        pair, many = _PAIR.search(run) is not None, len(_UPPER.findall(run)) > 2
+        found: dict[str, tuple[int, list[int]]] = {}
+        for wrong, chains in BY_READING.items():
+            fits = upper & _upper(wrong)
+            if not fits:
                 continue
-            utf8, text, odd, best = right == "utf-8", run, 0, None
-            # Text may have gone through the same wrong reading several times.
-            for _ in range(ROUNDS if utf8 else 1):
-                made = undo(text, right, wrong)
-                if made is None or made[0] == text:
-                    break
-                text, odd = made[0], odd + made[1]
-                then = self.model.score(text)
-                gain = then - now - ODD * odd
-                if gain > (RUN_MARGIN_UTF8 if utf8 else RUN_MARGIN) and -then < (RESTORED_UTF8 if utf8 else RESTORED) * (len(text) + 1) and (best is None or gain > best[0]):
-                    best = (gain, text)
-            if best is not None:
-                out.append((n, *best))
-        return tuple(out)
-
-    def once(self, text: str) -> tuple[str, float]:
-        """The text with its likeliest chain undone, and what that gains; 0 where none is accepted."""
-        runs = {r.strip(_RIM) for r in _RUN.findall(text)}
+            data = run.translate(_byte_string(wrong)).encode("latin-1") if len(fits) == len(upper) else None
+            four = data is not None and _GB_FOUR.search(data) is not None
+            for n, right in chains:
+                if right == "gb18030" and four:
+                    pass
+                elif (right in _LONG and not pair) or (right in _WIDE and right != "gb18030" and not many):
+                    continue
+                if right == "utf-8":
+                    if data is not None and not _UTF8.search(data):
+                        continue
+                    text, odd = run, 0
+                    # Text may have gone through the same wrong reading several times.
+                    for _ in range(ROUNDS):
+                        made = undo(text, right, wrong)
+                        if made is None or made[0] == text:
+                            break
+                        text, odd = made[0], odd + made[1]
+                        found.setdefault(text, (odd, []))[1].append(n)
+                    continue
+                if data is not None:
+                    try:
+                        text = data.decode(right)
+                    except UnicodeDecodeError:
+                        continue
+                else:
+                    made = undo(run, right, wrong)
+                    if made is None:
+                        continue
+                    text = made[0]
+                if text != run:
+                    found.setdefault(text, (0, []))[1].append(n)
+        return found
+
+    def _learn(self, runs: set[str]) -> None:
+        """Find for each run the chains that make it likelier, with what they gain; all are scored at once."""
+        new = [r for r in runs if r not in self.known]
+        if len(self.known) + len(new) > self.REMEMBERED:
+            self.known.clear()
+            new = list(runs)
+        now = self.model.scores(new)
+        odd = [(r, x) for r, x in zip(new, now) if -x >= (USUAL if _PAIR.search(r) else USUAL_SINGLE) * (len(r) + 1)]
+        self.known.update(dict.fromkeys(new, ()))
+        attempts = [(r, x, self._attempts(r)) for r, x in odd]
+        texts = list({t for _, _, a in attempts for t in a})
+        score = dict(zip(texts, self.model.scores(texts)))
+        for run, x, found in attempts:
+            best: dict[int, float] = {}
+            for text, (lost, chains) in found.items():
+                then = score[text]
+                gain = float(then - x - ODD * lost)
+                for n in chains:
+                    utf8 = CHAINS[n][0] == "utf-8"
+                    if gain > (RUN_MARGIN_UTF8 if utf8 else RUN_MARGIN) and -then < (RESTORED_UTF8 if utf8 else RESTORED) * (len(text) + 1):
+                        best[n] = max(gain, best.get(n, gain))
+            self.known[run] = tuple(sorted(best.items()))
+
+    def _best(self, runs: set[str], utf8_only: frozenset[str]) -> tuple[int, float] | None:
+        """The likeliest chain of a record and what it gains, in parts of its margin."""
         gains: dict[int, float] = {}
         for run in runs:
-            for n, gain, _ in self.ways(run):
-                gains[n] = gains.get(n, 0.0) + gain
+            for n, gain in self.known[run]:
+                if run not in utf8_only or CHAINS[n][0] == "utf-8":
+                    gains[n] = gains.get(n, 0.0) + gain
         if not gains:
-            return text, 0.0
+            return None
         best = max(gains, key=lambda n: (gains[n], -n))
-        if gains[best] < (RECORD_MARGIN_UTF8 if CHAINS[best][0] == "utf-8" else RECORD_MARGIN):
-            return text, 0.0
-        known = {run: fixed for run in runs for n, _, fixed in self.ways(run) if n == best}
-        return _RUN.sub(lambda m: m[0].replace(core, known[core]) if (core := m[0].strip(_RIM)) in known else m[0], text), gains[best]
-
-    def restore(self, text: str | None) -> tuple[str | None, bool]:
-        """The restored text, and whether it was garbled; a replacement character is garbled text that can't be restored."""
-        if not text or text.isascii():
-            return text, False
-        garbled = False
+        return best, gains[best] / (RECORD_MARGIN_UTF8 if CHAINS[best][0] == "utf-8" else RECORD_MARGIN)
+
+    def gains(self, texts: list[str]) -> list[float]:
+        """What the likeliest chain of each text gains, in parts of its margin; 0 where there is none."""
+        runs = [_runs(t) for t in texts]
+        self._learn({r for own in runs for r in own})
+        return [found[1] if (found := self._best(own, frozenset())) else 0.0 for own in runs]
+
+    def _undone(self, run: str, n: int) -> list[tuple[str, int]]:
+        right, wrong = CHAINS[n]
+        out, text, odd = [], run, 0
+        for _ in range(ROUNDS if right == "utf-8" else 1):
+            made = undo(text, right, wrong)
+            if made is None or made[0] == text:
+                break
+            text, odd = made[0], odd + made[1]
+            out.append((text, odd))
+        return out
+
+    def _replace(self, chosen: list[tuple[set[str], int]]) -> list[dict[str, str]]:
+        """For each record's runs and its chain, the runs to replace."""
+        made = [{r: self._undone(r, n) for r in runs} for runs, n in chosen]
+        texts = list({t for own in made for r, ways in own.items() for t in (r, *(w for w, _ in ways))})
+        score = dict(zip(texts, self.model.scores(texts)))
+        out = []
+        for own, (_, n) in zip(made, chosen):
+            gain = {r: max((score[t] - score[r] - ODD * odd, t) for t, odd in ways) for r, ways in own.items() if ways}
+            margin = RUN_MARGIN_UTF8 if CHAINS[n][0] == "utf-8" else RUN_MARGIN
+            garbled, clean = sum(g > margin for g, _ in gain.values()), sum(g < -RUN_MARGIN for g, _ in gain.values())
+            # How likely any run of this record is garbled, from those that tell surely.
+            prior = float(np.log((garbled + 0.5) / (clean + 0.1)))
+            out.append({r: t for r, (g, t) in gain.items() if g + max(prior, 0.0) > 0})
+        return out
+
+    def restore_all(self, texts: list[str | None]) -> list[tuple[str | None, bool]]:
+        """Each text restored, and whether it was garbled; a replacement character is garbled text that can't be restored."""
+        now: list[str | None] = list(texts)
+        garbled = [False] * len(texts)
+        done: list[frozenset[str]] = [frozenset()] * len(texts)
+        active = [i for i, t in enumerate(texts) if t and not t.isascii()]
         for _ in range(ROUNDS):
-            fixed, gain = self.once(text)
-            if gain <= 0:
+            runs = {i: _runs(now[i]) for i in active}
+            self._learn({r for own in runs.values() for r in own})
+            chosen = [(i, best[0]) for i in active if (best := self._best(runs[i], done[i])) and best[1] >= self.model.factor]
+            if not chosen:
                 break
-            text, garbled = fixed, True
-        return text, garbled or _NEVER.search(text) is not None
+            active = []
+            for (i, _), known in zip(chosen, self._replace([(runs[i], n) for i, n in chosen])):
+                text = _RUN.sub(lambda m: m[0].replace(core, known[core]) if (core := m[0].strip(_RIM)) in known else m[0], now[i])
+                garbled[i] = True
+                if text != now[i]:
+                    now[i], done[i] = text, done[i] | {x.strip(_RIM) for w in known.values() for x in _RUN.findall(w)}
+                    active.append(i)
+        return [(t, g or bool(t) and _NEVER.search(t) is not None) for t, g in zip(now, garbled)]
+
+    def restore(self, text: str | None) -> tuple[str | None, bool]:
+        return self.restore_all([text])[0]
 
 
 def restored_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,13 +420,13 @@ def restored_text(documents: DataFrame, key: str = "doc_id", text: str = "text")
     """
     spark = documents.sparkSession
     model = train(documents, text)
-    shared = spark.sparkContext.broadcast((model.one, model.two, model.three))
+    shared = spark.sparkContext.broadcast((model.one, model.two, model.three, model.factor))
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(Model(*shared.value))
         for pdf in batches:
-            made = [restorer.restore(t) for t in pdf.iloc[:, 1]]
+            made = restorer.restore_all([t if isinstance(t, str) else None for t in pdf.iloc[:, 1]])
             yield pd.DataFrame({key: pdf.iloc[:, 0], "garbled": [g for _, g in made], "restored": pd.Series([t for t, _ in made], dtype="object")})
 
     return documents.select(key, text).mapInPandas(run, f"`{key}` {kind}, garbled boolean, restored string")
