@@ -29,6 +29,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pieces that a worker remembers, and the longest that it does; older ones are encoded again.
 CACHED_PIECES, CACHED_LENGTH = 400_000, 48
+#: Pairs of tokens of which a worker remembers whether they stay apart.
+CACHED_PAIRS = 1_000_000
 #: Ids in one batch of results.
 BATCH_IDS = 2_000_000
 
@@ -74,6 +76,8 @@ class Coder:
         """Whether the two tokens stay apart where their bytes meet."""
         known = self._fits.get((left, right))
         if known is None:
+            if len(self._fits) >= CACHED_PAIRS:
+                self._fits.clear()
             known = self._fits[left, right] = self.merged(self.text[left] + self.text[right]) == [left, right]
         return known
 

@@ -19,11 +19,28 @@ from .bpe import VOCABULARY, count_tokens
 LEAST_WEIGHT = 0.2
 
 
+#: Characters per word that running text has on the average, at least and at most.
+WORD_LENGTHS = (2.5, 12.0)
+
+
 def quality(text: Column) -> Column:
-    """A weight from ``LEAST_WEIGHT`` to 1: the share of letters, digits and blanks in the text."""
-    kept = F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}\p{N} ]", ""))
-    share = kept / F.greatest(F.char_length(text), F.lit(1))
-    return F.greatest(F.lit(LEAST_WEIGHT), share)
+    """A weight from ``LEAST_WEIGHT`` to 1: the geometric mean of four shares.
+
+    Letters, digits and blanks among all characters; distinct words among all words,
+    against what a text of that length has (about the 0.8th power of its words); words that
+    are no numbers; and how far the mean word is from the lengths of running text (texts
+    without blanks, such as Japanese, count as one word per two characters).
+    """
+    length = F.greatest(F.char_length(text), F.lit(1))
+    kept = F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}\p{N} ]", "")) / length
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    unspaced = F.char_length(F.regexp_replace(text, r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]", "")) > length / 3
+    n = F.greatest(F.size(words), F.lit(1)).cast("double")
+    varied = F.when(unspaced, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.size(F.array_distinct(words)) / F.pow(n, F.lit(0.8))))
+    told = F.size(F.filter(words, lambda w: ~w.rlike("^[0-9]+$"))) / n
+    mean = F.when(unspaced, F.lit(5.0)).otherwise(F.aggregate(words, F.lit(0), lambda s, w: s + F.char_length(w)) / n)
+    usual = F.least(F.lit(1.0), mean / WORD_LENGTHS[0], WORD_LENGTHS[1] / F.greatest(mean, F.lit(0.1)))
+    return F.greatest(F.lit(LEAST_WEIGHT), F.pow(kept * varied * told * usual, F.lit(0.25)))
 
 
 def sized_documents(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
