@@ -29,19 +29,37 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return cut.select("id", "source", "type", "target", F.row_number().over(Window.partitionBy("id", "source").orderBy("ords", "type", "target")).alias("adj_ord"))
 
 
+def _distances(step: DataFrame, goals: DataFrame, hops: int) -> DataFrame:
+    """``id, goal, node, far``: the nodes from which a goal can be reached in fewer than ``hops`` edges, with the least number of edges."""
+    back = step.select("id", F.col("next").alias("at"), F.col("node").alias("before")).distinct()
+    front = goals.select("id", "goal", F.col("goal").alias("node"), F.lit(0).alias("far")).distinct()
+    every = front
+    for far in range(1, hops):
+        # A goal is never passed through, so nothing is searched behind it.
+        moved = front.join(back, (front["id"] == back["id"]) & (front["node"] == back["at"])).where(F.col("before") != F.col("goal"))
+        front = moved.select(front["id"], "goal", F.col("before").alias("node"), F.lit(far).alias("far")).distinct()
+        every = every.unionByName(front)
+    return every.groupBy("id", "goal", "node").agg(F.min("far").alias("far"))
+
+
 def bounded_paths(adj: DataFrame, starts: DataFrame, hops: int, cap: int) -> DataFrame:
     """``id, source, goal, len, ords, path, rank``: up to ``cap`` simple paths of at most ``hops`` edges.
 
     ``starts`` has ``id, source, goal``; a start that is its goal has no path.  The goal is
-    never passed through.  ``path`` is a list of ``s|p|o`` texts.
+    never passed through.  ``path`` is a list of ``s|p|o`` texts.  Distances to the goals are
+    found first, backwards; the frontier takes only edges to nodes from which the goal can
+    still be reached with the edges that are left, so it holds no way that leads nowhere.
     """
     step = adj.select("id", F.col("source").alias("node"), F.col("type").alias("p"), F.col("target").alias("next"), "adj_ord")
-    front = starts.where("source <> goal").distinct().select("id", "source", "goal", F.col("source").alias("node"), F.array("source").alias("seen"), F.array().cast("array<int>").alias("ords"), F.array().cast("array<string>").alias("path"))
+    wanted = starts.where("source <> goal").distinct()
+    near = _distances(step, wanted.select("id", "goal"), hops)
+    # Edges by goal, with the edges that are left at least behind each: one exchange serves all hops.
+    scratch = Scratch(adj.sparkSession, "steps")
+    useful = scratch.cut(step.join(near.select("id", "goal", F.col("node").alias("next"), "far"), ["id", "next"]).select("id", "goal", "node", "p", "next", "adj_ord", "far"))
+    front = wanted.select("id", "source", "goal", F.col("source").alias("node"), F.array("source").alias("seen"), F.array().cast("array<int>").alias("ords"), F.array().cast("array<string>").alias("path"))
     hits = None
     for hop in range(hops):
-        moved = front.join(step, ["id", "node"])
-        # Nothing but the goal is worth a last hop.
-        moved = moved.where("next = goal" if hop == hops - 1 else "not array_contains(seen, next)")
+        moved = front.join(useful, ["id", "goal", "node"]).where((F.col("far") <= hops - hop - 1) & ~F.array_contains("seen", F.col("next")))
         moved = moved.select("id", "source", "goal", F.col("next").alias("node"), F.array_append("seen", F.col("next")).alias("seen"), F.array_append("ords", F.col("adj_ord")).alias("ords"), F.array_append("path", F.concat_ws("|", "node", "p", "next")).alias("path"))
         found = moved.where("node = goal").select("id", "source", "goal", F.lit(hop + 1).alias("len"), "ords", "path")
         hits = found if hits is None else hits.unionByName(found)
