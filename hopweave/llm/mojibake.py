@@ -55,6 +55,7 @@ _PAIR, _UPPER = regex.compile(r"[^\x00-\x7f]{2}"), regex.compile(r"[^\x00-\x7f]"
 #: Encodings whose letters take, or whose words have, several bytes of the upper half.
 _WIDE = frozenset(("shift_jis", "euc_jp", "gb18030", "big5", "euc_kr"))
 _LONG = _WIDE | {"utf-8", "cp1251", "koi8-r", "cp866", "mac_cyrillic", "cp1253", "iso8859-7"}
+_PART = regex.compile(rb"[\x80-\xff]{4}")
 #: Four-byte characters of GB 18030 hold ASCII digits.
 _GB_FOUR = regex.compile(rb"[\x81-\xfe][0-9][\x81-\xfe][0-9]")
 #: By what text was read as: the chains with their numbers.
@@ -94,6 +95,23 @@ def _byte_string(codec: str) -> dict[int, str]:
     return {c: chr(b) for c, b in byte_table(codec).items()} | {i: chr(i) for i in range(0x80)}
 
 
+class _Loose(dict):
+    """A translation in which characters without a byte become zero bytes."""
+
+    def __missing__(self, key: int) -> str:
+        return "\x00"
+
+
+@lru_cache(None)
+def _loose_bytes(codec: str) -> _Loose:
+    return _Loose(_byte_string(codec))
+
+
+def _as_bytes(run: str, codec: str) -> bytes:
+    """The bytes that ``codec`` writes for ``run``, zero for what it has not."""
+    return run.translate(_loose_bytes(codec)).encode("latin-1")
+
+
 @lru_cache(None)
 def _stretch(codec: str) -> regex.Pattern:
     """Stretches of text that the encoding can write, with at least one character of its upper half."""
@@ -213,6 +231,9 @@ def _suspicious_run(run: str) -> int:
     if regex.search(r"[¡-ÿ]{4}|[─-▟√∫∂∏∑∞≈≠◊]", run):
         return 2
     for wrong in READ_AS:
+        # Few encodings make valid sequences of a clean run, so most are done here.
+        if not _UTF8.search(_as_bytes(run, wrong)):
+            continue
         for stretch in _stretch(wrong).findall(run):
             data = stretch.translate(_byte_string(wrong)).encode("latin-1")
             upper = sum(b >= 0x80 for b in data)
@@ -287,15 +308,20 @@ class Restorer:
             fits = upper & _upper(wrong)
             if not fits:
                 continue
-            data = run.translate(_byte_string(wrong)).encode("latin-1") if len(fits) == len(upper) else None
-            four = data is not None and _GB_FOUR.search(data) is not None
+            data, whole = _as_bytes(run, wrong), len(fits) == len(upper)
+            valid = pair and _UTF8.search(data) is not None
+            # A run that the reading has not all characters of was not read by it as a whole; a longer part of it may have been.
+            part = not whole and _PART.search(data) is not None
+            if not whole and not valid and not part:
+                continue
+            four = whole and _GB_FOUR.search(data) is not None
             for n, right in chains:
                 if right == "gb18030" and four:
                     pass
                 elif (right in _LONG and not pair) or (right in _WIDE and right != "gb18030" and not many):
                     continue
                 if right == "utf-8":
-                    if data is not None and not _UTF8.search(data):
+                    if not valid:
                         continue
                     text, odd = run, 0
                     # Text may have gone through the same wrong reading several times.
@@ -306,16 +332,15 @@ class Restorer:
                         text, odd = made[0], odd + made[1]
                         found.setdefault(text, (odd, []))[1].append(n)
                     continue
-                if data is not None:
+                if whole:
                     try:
                         text = data.decode(right)
                     except UnicodeDecodeError:
                         continue
-                else:
-                    made = undo(run, right, wrong)
-                    if made is None:
-                        continue
+                elif part and right in _LONG and (made := undo(run, right, wrong)):
                     text = made[0]
+                else:
+                    continue
                 if text != run:
                     found.setdefault(text, (0, []))[1].append(n)
         return found
