@@ -23,29 +23,42 @@ LEAST_WEIGHT = 0.2
 WORD_LENGTHS = (2.5, 12.0)
 
 
-def quality(text: Column) -> Column:
+def word_list(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), "")
+
+
+def quality(text: Column, words: Column, letters: Column) -> Column:
     """A weight from ``LEAST_WEIGHT`` to 1: the geometric mean of four shares.
 
-    Letters, digits and blanks among all characters; distinct words among all words,
-    against what a text of that length has (about the 0.8th power of its words); words that
-    are no numbers; and how far the mean word is from the lengths of running text (texts
-    without blanks, such as Japanese, count as one word per two characters).
+    ``words`` is the ``word_list`` of the text and ``letters`` its number of letters and digits,
+    as columns of their own, so that each is found once.  The shares: letters, digits and one
+    blank per word among all characters; distinct words among all words, against what a text
+    of that length has (about the 0.8th power of its words); words that are no numbers; and
+    how far the mean word is from the lengths of running text (texts without blanks, such as
+    Japanese, have no words to measure).
     """
     length = F.greatest(F.char_length(text), F.lit(1))
-    kept = F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}\p{N} ]", "")) / length
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
-    unspaced = F.char_length(F.regexp_replace(text, r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]", "")) > length / 3
     n = F.greatest(F.size(words), F.lit(1)).cast("double")
+    mean = letters / n
+    # Words of that mean length are sentences without blanks, if they are of many different characters.
+    unspaced = (mean > WORD_LENGTHS[1]) & text.rlike(r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{6}")
+    kept = F.least(F.lit(1.0), (letters + F.size(words)) / length)
     varied = F.when(unspaced, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.size(F.array_distinct(words)) / F.pow(n, F.lit(0.8))))
-    told = F.size(F.filter(words, lambda w: ~w.rlike("^[0-9]+$"))) / n
-    mean = F.when(unspaced, F.lit(5.0)).otherwise(F.aggregate(words, F.lit(0), lambda s, w: s + F.char_length(w)) / n)
-    usual = F.least(F.lit(1.0), mean / WORD_LENGTHS[0], WORD_LENGTHS[1] / F.greatest(mean, F.lit(0.1)))
+    told = F.greatest(F.lit(0.0), 1 - F.regexp_count(text, F.lit(r"\b[0-9]+\b")) / n)
+    usual = F.when(unspaced, F.lit(1.0)).otherwise(F.least(F.lit(1.0), mean / WORD_LENGTHS[0], WORD_LENGTHS[1] / F.greatest(mean, F.lit(0.1))))
     return F.greatest(F.lit(LEAST_WEIGHT), F.pow(kept * varied * told * usual, F.lit(0.25)))
 
 
+def with_quality(documents: DataFrame, text: str = "text", out: str = "weight") -> DataFrame:
+    """``documents`` with the quality weight of each text."""
+    letters = F.char_length(F.regexp_replace(F.col(text), r"[^\p{L}\p{M}\p{N}]+", ""))
+    found = documents.withColumns({"__words": word_list(F.col(text)), "__letters": letters})
+    return found.withColumn(out, quality(F.col(text), F.col("__words"), F.col("__letters"))).drop("__words", "__letters")
+
+
 def sized_documents(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Distinct ``(doc_id, source, tokens, weight)`` of documents with a source and at least one token."""
-    base = documents.where("source is not null and text is not null and text <> ''").withColumn("weight", quality(F.col("text")))
+    base = with_quality(documents.where("source is not null and text is not null and text <> ''"))
     return count_tokens(base, ["doc_id", "source", "weight"], "text", vocabulary).where("tokens > 0").distinct()
 
 

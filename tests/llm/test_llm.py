@@ -454,7 +454,7 @@ def test_mix(spark):
 def test_quality_orders_texts(spark):
     good = "The harbour was built in 1882, when the town traded in grain and timber with its neighbours."
     bad = ["spam spam spam spam spam spam spam spam spam spam spam spam", "|||--- ### |||--- ### |||---", "1 2 3 4 5 6 7 8 9 10 11 12", "x" * 500, "", "!"]
-    w = {r.t: r.w for r in spark.createDataFrame([(t,) for t in [good, *bad]], "t string").withColumn("w", mixing.quality(F.col("t"))).collect()}
+    w = {r.t: r.w for r in mixing.with_quality(spark.createDataFrame([(t,) for t in [good, *bad]], "t string"), "t", "w").collect()}
     assert all(mixing.LEAST_WEIGHT <= x <= 1 for x in w.values()) and all(w[good] > w[t] + 0.1 for t in bad) and w[good] > 0.9
 
 
