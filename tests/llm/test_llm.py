@@ -479,6 +479,9 @@ def test_restoring_held_out_texts(spark):
         garbled = garbled[:40]
         if len(garbled) >= 5:
             back = restorer.restore_all([g for _, g in garbled])
+            if (right, wrong) in {("utf-8", w) for w in ("cp1252", "latin-1", "mac_roman", "cp437", "cp1251")}:
+                assert sum(x for _, x in back) >= 0.97 * len(garbled), wrong
+                assert sum(r == t for (r, _), (t, _) in zip(back, garbled)) >= 0.9 * len(garbled), wrong
             chains += 1
             found += sum(x for _, x in back) >= 0.85 * len(garbled)
             exact += sum(r == t for (r, _), (t, _) in zip(back, garbled)) >= 0.85 * len(garbled)
