@@ -3,12 +3,13 @@
 Method: a smoothed character trigram model is trained on the clean records of the
 corpus itself; every chain "bytes of encoding A read as encoding B" is undone on the
 runs of text where it can be, and scored against the original; the likeliest chain of a
-record is accepted beyond a margin, which is validated when the model is fitted: clean
-records must stay.  Where a chain is accepted, the record's other runs are undone by it
+record is accepted beyond a margin, which is validated on all clean records when the model
+is fitted: they must stay.  Where a chain is accepted, the record's other runs are undone by it
 as well, unless they are likelier as they are than the chain is common in the record.
 
 The model is a set of hashed count tables of fixed size, so what the driver holds and
-broadcasts does not grow with the corpus; counts cover all clean records.
+broadcasts does not grow with the corpus; counts and margins cover all clean records.
+What the chains of each record gain is found once and written to the shared scratch folder.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch
+
 # Encodings that text is read with by mistake, and those that it was written in.
 READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "iso8859-2", "cp1254", "cp1251", "koi8-r", "cp866", "cp855", "mac_cyrillic", "iso8859-5", "cp1253", "cp1257")
 #: Written in, read as. UTF-8 may be read as any of ``READ_AS``.
@@ -42,8 +46,8 @@ FLOOR = 0.001 / 70_000
 #: Natural-log likelihood that a chain must gain in a run, and the least that it must gain in a whole record; UTF-8 is rarely valid by chance, so less is asked there.
 RUN_MARGIN, RUN_MARGIN_UTF8, RECORD_MARGIN, RECORD_MARGIN_UTF8 = 4.0, 2.0, 8.5, 5.0
 #: Factors of the record margins of which the first is taken that leaves no more than ``FALSE`` of the clean records
-#: changed; a bounded sample of ``VALIDATION`` records tells, if it has ``LEAST_CLEAN`` clean ones. What gains more than the last factor asks is garbled, not clean.
-FACTORS, FALSE, VALIDATION, LEAST_CLEAN = (1.0, 1.3, 1.7, 2.2, 3.0, 5.0), 0.003, 2000, 200
+#: changed; all that are not ASCII tell, if there are ``LEAST_CLEAN``. What gains more than the last factor asks is garbled, not clean.
+FACTORS, FALSE, LEAST_CLEAN = (1.0, 1.3, 1.7, 2.2, 3.0, 5.0), 0.003, 200
 #: Natural-log likelihood per character, below which a run is ordinary text and stays (the second: where no two upper characters meet), and that a run may be restored to (the second: from UTF-8).
 USUAL, USUAL_SINGLE, RESTORED, RESTORED_UTF8 = 2.2, 2.6, 2.8, 4.0
 #: What a character costs that does not fit into a chain.
@@ -247,19 +251,21 @@ def _suspicious_run(run: str) -> int:
 
 def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     tables = [np.zeros(n, dtype=np.int64) for n in BUCKETS]
+    clean = 0
     for pdf in batches:
         for text in pdf.iloc[:, 0]:
             if text and not suspicious(text):
+                clean += not text.isascii()
                 for table, index in zip(tables, grams(_points(text))):
                     np.add.at(table, index, 1)
-    for n, table in enumerate(tables):
+    for n, table in enumerate((*tables, np.array([clean]))):
         used = np.flatnonzero(table)
         yield pd.DataFrame({"n": np.full(len(used), n, dtype=np.int32), "bucket": used.astype(np.int32), "count": table[used]})
 
 
-def train(documents: DataFrame, text: str = "text") -> Model:
-    """The model over all clean records. Each task sends one bounded table; the driver gets at most ``sum(BUCKETS)`` rows
-    and, to validate the margins, ``VALIDATION`` records."""
+def fitted(documents: DataFrame, text: str = "text") -> tuple[Model, int]:
+    """The model over all clean records, with margins not yet validated, and how many clean records are not ASCII. Each task
+    sends one bounded table; the driver gets at most ``sum(BUCKETS) + 1`` rows."""
     texts = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
     counted = texts.mapInPandas(_count_batches, "n int, bucket int, count bigint")
     rows = counted.groupBy("n", "bucket").agg(F.sum("count").alias("count")).toPandas()
@@ -269,19 +275,41 @@ def train(documents: DataFrame, text: str = "text") -> Model:
         own = rows[rows["n"] == n]
         t[own["bucket"].to_numpy()] = own["count"].to_numpy()
         tables.append(t)
-    model = Model(*tables)
-    some = texts.where(F.col("text").rlike("[^\\x00-\\x7f]")).orderBy(F.xxhash64("text"), "text").limit(VALIDATION).toPandas()
-    model.factor = validated(model, [t for t in some["text"] if not suspicious(t)])
-    return model
+    return Model(*tables), int(rows.loc[rows["n"] == len(BUCKETS), "count"].sum())
+
+
+def scored(documents: DataFrame, keep: list[str], text: str, model: Model) -> DataFrame:
+    """The columns of ``keep`` and of every row ``__gain``, what its likeliest chain gains in parts of the margin, ``__clean``,
+    whether it is a clean record that the least factor would change, and ``__lost``, whether it holds what no clean text holds."""
+    shared = documents.sparkSession.sparkContext.broadcast((model.one, model.two, model.three))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(Model(*shared.value))
+        for batch in batches:
+            texts = ["" if t is None or t.isascii() else t for t in batch.column(batch.num_columns - 1).to_pylist()]
+            gains = restorer.gains(texts)
+            clean = [g >= FACTORS[0] and not suspicious(t) for t, g in zip(texts, gains)]
+            lost = [_NEVER.search(t) is not None for t in texts]
+            made = [pa.array(gains, pa.float64()), pa.array(clean, pa.bool_()), pa.array(lost, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], "__gain", "__clean", "__lost"])
+
+    kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep]
+    return documents.select(*keep, F.col(text).alias("__text")).mapInArrow(run, ", ".join([*kinds, "__gain double", "__clean boolean", "__lost boolean"]))
 
 
-def validated(model: Model, clean: list[str]) -> float:
-    """The factor of the record margins that leaves clean records as they are."""
-    if len(clean) < LEAST_CLEAN:
+def validated(gains: DataFrame, clean: int) -> float:
+    """The factor of the record margins that leaves clean records as they are, by the ``scored`` rows of all ``clean`` ones."""
+    if clean < LEAST_CLEAN:
         return FACTORS[0]
-    gains = Restorer(model).gains(clean)
-    over = [sum(g >= f for g in gains) for f in FACTORS]
-    return next((f for f, n in zip(FACTORS, over) if n - over[-1] <= FALSE * len(clean)), FACTORS[-1])
+    over = gains.where("__clean").agg(*(F.count(F.when(F.col("__gain") >= f, 1)) for f in FACTORS)).first()
+    return next((f for f, n in zip(FACTORS, over) if n - over[-1] <= FALSE * clean), FACTORS[-1])
+
+
+def train(documents: DataFrame, text: str = "text") -> Model:
+    """The model over all clean records, its margins validated on all of them."""
+    model, clean = fitted(documents, text)
+    model.factor = validated(scored(documents, [], text, model), clean)
+    return model
 
 
 @lru_cache(None)
@@ -444,19 +472,26 @@ def restored_text(documents: DataFrame, key: str = "doc_id", text: str = "text")
     (replacement characters) stays as it is and counts as garbled.
     """
     spark = documents.sparkSession
-    model = train(documents, text)
+    model, clean = fitted(documents, text)
+    gains = Scratch(spark, "encodings").cut(scored(documents, [key, text], text, model))
+    model.factor = validated(gains, clean)
     shared = spark.sparkContext.broadcast((model.one, model.two, model.three, model.factor))
     kind = documents.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(Model(*shared.value))
-        for pdf in batches:
-            made = restorer.restore_all([t if isinstance(t, str) else None for t in pdf.iloc[:, 1]])
-            yield pd.DataFrame({key: pdf.iloc[:, 0], "garbled": [g for _, g in made], "restored": pd.Series([t for t, _ in made], dtype="object")})
+        for batch in batches:
+            made = restorer.restore_all(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([True] * len(made), pa.bool_()), pa.array([t for t, _ in made], pa.string())], names=[key, "garbled", "restored"])
 
-    return documents.select(key, text).mapInPandas(run, f"`{key}` {kind}, garbled boolean, restored string")
+    # What gains less than the margin stays as it is.
+    kept = gains.where(F.col("__gain") < model.factor).select(key, F.col("__lost").alias("garbled"), F.col(text).alias("restored"))
+    return kept.union(gains.where(F.col("__gain") >= model.factor).select(key, text).mapInArrow(run, f"`{key}` {kind}, garbled boolean, restored string"))
 
 
 def garbled_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The keys of rows with text that a wrong encoding has garbled."""
-    return restored_text(documents, key, text).where("garbled").select(key).distinct()
+    """The keys of rows with text that a wrong encoding has garbled: those that ``restored_text`` calls so, found without restoring them."""
+    model, clean = fitted(documents, text)
+    rows = scored(documents, [key], text, model).where(F.col("__lost") | (F.col("__gain") >= FACTORS[0]))
+    gains = Scratch(documents.sparkSession, "encodings").cut(rows)
+    return gains.where(F.col("__lost") | (F.col("__gain") >= validated(gains, clean))).select(key).distinct()

@@ -490,6 +490,28 @@ def test_restoring_held_out_texts(spark):
     assert chains > 40 and found >= 0.9 * chains and exact >= 0.85 * chains, (chains, found, exact, poor)
 
 
+def test_margins_cover_all_clean_records(spark):
+    x = random.Random(5)
+    filler = ["".join(x.choice("aeiklmnrstvz") for _ in range(6)) for _ in range(200)]
+
+    def text(k, o="ő"):
+        return " ".join([*x.sample(filler, 12), *x.sample(["ő", "őt", "ők", "őr", "őz", "ős"], 3), str(k)]).replace("ő", o)
+
+    # Clean records of a rarer spelling that looks like wrongly read text; by hash they come after all others.
+    rare = [(text(k, "õ"),) for k in range(2400, 2800)]
+    last = [r.text for r in spark.createDataFrame(rare, "text string").orderBy(F.xxhash64("text").desc()).limit(20).collect()]
+    right = text(2800)
+    texts = [*(text(k) for k in range(2400)), *last, right.encode().decode("cp1252")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert not any(map(mojibake.suspicious, texts[:-1])) and mojibake.suspicious(texts[-1])
+    assert mojibake.train(df).factor > mojibake.FACTORS[0]
+    found = {r.doc_id for r in mojibake.garbled_documents(df).collect()}
+    assert 2420 in found and len(found) - 1 <= mojibake.FALSE * 2420
+    got = {r.doc_id: (r.garbled, r.restored) for r in mojibake.restored_text(df).collect()}
+    assert len(got) == 2421 and {k for k, (g, _) in got.items() if g} == found and got[2420] == (True, right)
+    assert all(got[k][1] == t for k, t in enumerate(texts) if k not in found)
+
+
 def test_restored_edge_rows(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "plain"), (4, "caf�"), (5, "x" * 20000)], "doc_id bigint, text string")
     got = {r.doc_id: (r.garbled, r.restored) for r in mojibake.restored_text(df).collect()}
